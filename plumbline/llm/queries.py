@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .op01_tokens import op1_tokens
 from .op02_extract import op2_extract
 from .op03_sharding import op3_sharding
+from .op04_lm import op4_lm
 from .op05_mixing import op5_mixing
 from .op06_warc import op6_warc
 from .op07_chat import op7_chat
 from .op08_decontaminate import op8_decontamination
+from .op09_jaccard import op9_jaccard
 from .op10_quality import op10_quality
 from .oracles import ORACLES  # noqa: F401
 
@@ -21,4 +23,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_tokens, op2_extract, op3_sharding, op5_mixing, op6_warc, op7_chat, op8_decontamination, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_tokens, op2_extract, op3_sharding, op4_lm, op5_mixing, op6_warc, op7_chat, op8_decontamination, op9_jaccard, op10_quality, pipeline)}
