@@ -251,14 +251,45 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         held = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
         done, at = cells(held)
-        for start, stop in done:
-            if (out := joined(held.slice(start, stop - start))) is not None:
+        small = np.array([stop - start <= LEAF and stop - start > 1 for start, stop in done], bool)
+        if small.any():
+            sizes = np.array([stop - start for start, stop in done])
+            if (out := _leaves(held.slice(0, at).filter(pa.array(np.repeat(small, sizes))), sizes[small])) is not None:
+                yield out
+        for (start, stop), one_leaf in zip(done, small, strict=True):
+            if not one_leaf and (out := joined(held.slice(start, stop - start))) is not None:
                 yield out
         rest = held.slice(at)
     if rest is not None and (out := joined(rest)) is not None:
         yield out
 
 
+def _leaves(rows: pa.Table, sizes: np.ndarray) -> pa.RecordBatch | None:
+    """The same for many cells of one leaf each, all at once: places that are 1, 2, ... apart and in one cell."""
+    cell = np.repeat(np.arange(len(sizes)), sizes)
+    side, sid, root, n = (rows.column(c).to_numpy() for c in ("side", "sid", "root", "n"))
+    points = None
+    left, right = [], []
+    for apart in range(1, int(sizes.max())):
+        ok = cell[apart:] == cell[:-apart]
+        ok &= (root[apart:] != root[:-apart]) & (100 * np.minimum(n[apart:], n[:-apart]) >= PERCENT * np.maximum(n[apart:], n[:-apart]))
+        ok &= (side[apart:] == 0) | (side[apart:] != side[:-apart])
+        i = np.flatnonzero(ok)
+        if not len(i):
+            continue
+        if points is None:
+            points = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
+        for at in range(0, len(i), 8192):
+            x = i[at : at + 8192]
+            y = x + apart
+            good = (np.minimum(points[x], points[y]).sum(1, dtype=np.int64) >= least_overlap(n[x], n[y])) | (points[x, 0] == 255) | (points[y, 0] == 255)
+            left.append(np.minimum(sid[x], sid[y])[good])
+            right.append(np.maximum(sid[x], sid[y])[good])
+    if not left:
+        return None
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+
+
 class Join:
     """The join's tables: entities (sid, rep, n, keys, point), rows (doc_id, n, sid), and cells (key, sid, n, best)."""
 
