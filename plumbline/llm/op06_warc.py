@@ -105,7 +105,7 @@ class ZipReader:
         tail_at = max(0, self.size - TAIL - 22)
         tail = self.read(tail_at, self.size - tail_at)
         end = tail.rfind(struct.pack("<I", _END))
-        while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+        while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
             end = tail.rfind(struct.pack("<I", _END), 0, end)
         if end < 0:
             raise ValueError("no end of central directory")
