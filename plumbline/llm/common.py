@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,6 +47,12 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of tables that nothing refers to any more; it does so when the JVM collects."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import forget, new_path, written
+from .common import forget, released, written
 from .components import components
 from .shingles import distinct, shingle_sets, slices
 
@@ -124,7 +124,7 @@ def _bit(of: Column) -> Column:
 
 
 def _sets(shared):
-    """(sid, set) of the texts whose id is in the filter; a text's id is in column 0, its bit in 1, the text in 2."""
+    """(sid, set) of the texts whose id's bit is in the filter; a text's bit is in column 1, the text in 2."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
@@ -133,7 +133,8 @@ def _sets(shared):
             wanted = whole.filter(pa.array((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
             for batch in slices(wanted, 2):
                 sets = shingle_sets(batch.column(2))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "set"])
+                ids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "set"])
 
     return make
 
@@ -291,23 +292,28 @@ def _leaves(rows: pa.Table, sizes: np.ndarray) -> pa.RecordBatch | None:
 
 
 class Join:
-    """The join's tables: entities (sid, rep, n, keys, point), rows (doc_id, n, sid), and cells (key, sid, n, best)."""
+    """The join's tables: entities (sid, rep, n, point), rows (doc_id, n, sid), and cells (key, sid, n, best)."""
 
     def __init__(self, docs: DataFrame, id_col: str, text: str):
         self.spark = docs.sparkSession
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
         sc = self.spark.sparkContext
         frequent = frequent_shingles(self.docs.select("text"), self.docs.count())
-        self.features = written(self.docs.mapInArrow(_features(sc.broadcast(frequent)), "doc_id long, n long, sid long, keys array<long>, point binary"), "jaccard-features")
-        real = self.features.filter("sid is not null")
+        features = written(self.docs.mapInArrow(_features(sc.broadcast(frequent)), "doc_id long, n long, sid long, keys array<long>, point binary"), "jaccard-features")
         # Copies are reduced to one entity before anything is exchanged.
-        firsts = real.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"))
-        self.entities = written(firsts, "jaccard-entities")
-        self.cells = self._cells()
-
-    def _cells(self) -> DataFrame:
+        firsts = features.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"))
+        full = written(firsts, "jaccard-full")
+        self.rows = written(features.select("doc_id", "n", "sid"), "jaccard-rows")
+        self.entities = written(full.select("sid", "rep", "n", "point"), "jaccard-entities")
+        forget(features)
+        released(self.spark)
+        self.cells = self._cells(full.select("sid", "keys"))
+        forget(full)
+        released(self.spark)
+
+    def _cells(self, keys: DataFrame) -> DataFrame:
         """(key, sid, n, best): keys that several entities share, with the entity of each key that shares most."""
-        rows = self.entities.select(F.explode("keys").alias("key"), "sid")
+        rows = keys.select(F.explode("keys").alias("key"), "sid")
         counts = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "jaccard-keys")
         shared = written(rows.join(counts, "key"), "jaccard-shared")
         forget(counts)
@@ -320,28 +326,28 @@ class Join:
             forget(table)
         return out
 
-    def sets(self) -> DataFrame:
-        """(sid, set) of the entities in cells, computed from their texts again: all sets would fill more room than the texts."""
-        inside = self.cells.select("sid").distinct().join(self.entities.select("sid", "rep"), "sid").select("sid", "rep")
-        inside = written(inside, "jaccard-inside")
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Those of pairs (a, b) whose whole sets are similar. Only the sets of pairs are made, from their texts again."""
+        pairs = written(pairs, "jaccard-pairs")
+        inside = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct().join(self.entities.select("sid", "rep"), "sid")
         words = inside.select(_bit(F.col("rep")).alias("bit")).groupBy(F.shiftright("bit", 5).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits"))
-        table = np.zeros(FILTER_BITS // 32, np.uint32)
-        got = words.toArrow()
+        table, got = np.zeros(FILTER_BITS // 32, np.uint32), words.toArrow()
         table[got.column("w").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
         source = self.docs.select("doc_id", _bit(F.col("doc_id")).alias("bit"), "text").filter("doc_id is not null")
-        found = source.mapInArrow(_sets(self.spark.sparkContext.broadcast(table.tobytes())), "rep long, set binary")
-        return written(found.join(inside, "rep").select("sid", "set").dropDuplicates(["sid"]), "jaccard-sets")
-
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        sets = written(source.mapInArrow(_sets(self.spark.sparkContext.broadcast(table.tobytes())), "sid long, set binary"), "jaccard-sets")
         left, right = sets.select(F.col("sid").alias("a"), F.col("set").alias("s")), sets.select(F.col("sid").alias("b"), F.col("set").alias("t"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(_overlaps, "a long, b long")
+        out = written(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(_overlaps, "a long, b long"), "jaccard-links")
+        forget(sets)
+        forget(pairs)
+        released(self.spark)
+        return out
 
     def star_pairs(self) -> DataFrame:
         fits = F.least("n", "best_n") * 100 >= F.greatest("n", "best_n") * PERCENT
         star = self.cells.filter(fits & (F.col("sid") != F.col("best"))).select(F.col("best").alias("a"), F.col("sid").alias("b"), F.col("best_n").alias("n"), F.col("n").alias("m")).distinct()
         point = self.entities.select("sid", "point")
         full = star.join(point.withColumnsRenamed({"sid": "a", "point": "p"}), "a").join(point.withColumnsRenamed({"sid": "b", "point": "q"}), "b")
-        return written(full.select("a", "b", "n", "m", "p", "q").mapInArrow(_bounded, "a long, b long"), "jaccard-star")
+        return full.select("a", "b", "n", "m", "p", "q").mapInArrow(_bounded, "a long, b long")
 
     def tree_pairs(self, roots: DataFrame) -> DataFrame:
         """Pairs of different components (roots: node, root) in cells that hold several, from the R-trees of each cell."""
@@ -360,11 +366,9 @@ class Join:
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Links that connect all components, and (node, root) of the entities that have any."""
-        sets = self.sets()
-        first = written(self.verified(self.star_pairs(), sets), "jaccard-links")
+        first = self.verified(self.star_pairs())
         roots = written(components(first), "jaccard-roots")
-        second = written(self.verified(self.tree_pairs(roots), sets), "jaccard-links")
-        forget(sets)
+        second = self.verified(self.tree_pairs(roots))
         if second.isEmpty():
             return first, roots
         both = first.unionByName(second)
@@ -377,7 +381,7 @@ class Join:
         rooted = entity.join(roots, entity["sid"] == roots["node"], "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
         least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
         table = written(rooted.join(least, "root").select(F.col("sid").alias("s"), "component_id"), "jaccard-table")
-        rows = self.features.select("doc_id", F.col("n").alias("n_shingles"), "sid")
+        rows = self.rows.select("doc_id", F.col("n").alias("n_shingles"), "sid")
         out = rows.join(table, rows["sid"] == table["s"], "left")
         return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
