@@ -5,9 +5,10 @@ GROUPS groups, and an entity's counts of each group are a point; the sum of two
 overlap of their sets from above, and so does that of the upper corners of two R-tree nodes for all pairs in them.
 
 So that no pair of all entities need be looked at, entities meet only in cells: of an order of all shingles (frequent
-ones last, then by hash), two sets that are similar enough share one of their first n - ceil(0.8 n) + 1. In a cell,
-first every entity is compared with the one that shares most (its star), then R-trees join what different components
-still have in common; large cells are divided into blocks, and pairs of blocks are tasks of their own. Every pair whose
+ones last, then by hash), two sets that are similar enough share one of their first n - ceil(0.8 n) + 1. Cells of one
+leaf are joined as they are, and pairs go on if they share enough of such cells. In a large cell, first every entity is
+compared with the one that shares most (its star), then R-trees join what different components still have in common;
+the largest are divided into blocks, and pairs of blocks are tasks of their own. Every pair whose
 bound allows it is verified on the whole sets. No link between components is lost; entities that are connected
 already need no further links.
 
@@ -312,20 +313,36 @@ class Join:
         released(self.spark)
 
     def _cells(self, keys: DataFrame) -> DataFrame:
-        """(key, sid, n, best): keys that several entities share, with the entity of each key that shares most."""
+        """(key, sid, n, size, best, best_n): large cells, with the entity of each that shares most; small ones stay in self.small."""
         rows = keys.select(F.explode("keys").alias("key"), "sid")
         counts = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "jaccard-keys")
         shared = written(rows.join(counts, "key"), "jaccard-shared")
         forget(counts)
-        degree = shared.groupBy("sid").agg(F.sum("size").alias("degree"))
+        degree = shared.groupBy("sid").agg(F.sum("size").alias("degree"), F.sum((F.col("size") > LEAF).cast("long")).alias("large"))
         sized = shared.join(degree.join(self.entities.select("sid", "n"), "sid"), "sid")
-        sized = written(sized.select("key", "sid", "n", "size", "degree"), "jaccard-sized")
-        best = written(sized.groupBy("key").agg(F.max(F.struct("degree", "sid", "n")).alias("best")), "jaccard-best")
-        out = written(sized.join(best, "key").select("key", "sid", "n", "size", F.col("best.sid").alias("best"), F.col("best.n").alias("best_n")), "jaccard-cells")
-        for table in (shared, sized, best):
-            forget(table)
+        sized = written(sized.select("key", "sid", "n", "size", "degree", "large"), "jaccard-sized")
+        forget(shared)
+        self.small = sized.filter(F.col("size") <= LEAF)
+        large = sized.filter(F.col("size") > LEAF)
+        best = written(large.groupBy("key").agg(F.max(F.struct("degree", "sid", "n")).alias("best")), "jaccard-best")
+        out = written(large.join(best, "key").select("key", "sid", "n", "size", F.col("best.sid").alias("best"), F.col("best.n").alias("best_n")), "jaccard-cells")
+        forget(best)
         return out
 
+    def leaf_pairs(self) -> DataFrame:
+        """Pairs (a, b, n, m) that cells of one leaf allow, by how many of such cells they share.
+
+        What two sets share of their first shingles, up to where the first of them ends, and all that comes after in
+        that set bound their overlap; shingles in large cells count as shared.
+        """
+        x = self.small.select("key", F.col("sid").alias("a"), F.col("n"), F.col("large").alias("x"))
+        y = self.small.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("large").alias("y"))
+        fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT
+        met = x.join(y, "key").filter((F.col("a") < F.col("b")) & fits).groupBy("a", "b", "n", "m", "x", "y").agg(F.count(F.lit(1)).alias("shared"))
+        rest = F.greatest(*(F.floor((F.col(c) * PERCENT + 99) / 100) - 1 for c in ("n", "m")))
+        need = F.floor(((F.col("n") + F.col("m")) * PERCENT + 99 + PERCENT) / (100 + PERCENT))
+        return met.filter(F.col("shared") + F.least("x", "y") + rest >= need).select("a", "b", "n", "m")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those of pairs (a, b) whose whole sets are similar. Only the sets of pairs are made, from their texts again."""
         pairs = written(pairs, "jaccard-pairs")
@@ -343,10 +360,15 @@ class Join:
         return out
 
     def star_pairs(self) -> DataFrame:
+        """Pairs (a, b, n, m) of an entity of a large cell and the one of it that shares most."""
         fits = F.least("n", "best_n") * 100 >= F.greatest("n", "best_n") * PERCENT
-        star = self.cells.filter(fits & (F.col("sid") != F.col("best"))).select(F.col("best").alias("a"), F.col("sid").alias("b"), F.col("best_n").alias("n"), F.col("n").alias("m")).distinct()
+        star = self.cells.filter(fits & (F.col("sid") != F.col("best")))
+        return star.select(F.col("best").alias("a"), F.col("sid").alias("b"), F.col("best_n").alias("n"), F.col("n").alias("m")).distinct()
+
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """Those of pairs (a, b, n, m) whose points' summed minima allow a link."""
         point = self.entities.select("sid", "point")
-        full = star.join(point.withColumnsRenamed({"sid": "a", "point": "p"}), "a").join(point.withColumnsRenamed({"sid": "b", "point": "q"}), "b")
+        full = pairs.join(point.withColumnsRenamed({"sid": "a", "point": "p"}), "a").join(point.withColumnsRenamed({"sid": "b", "point": "q"}), "b")
         return full.select("a", "b", "n", "m", "p", "q").mapInArrow(_bounded, "a long, b long")
 
     def tree_pairs(self, roots: DataFrame) -> DataFrame:
@@ -366,7 +388,7 @@ class Join:
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Links that connect all components, and (node, root) of the entities that have any."""
-        first = self.verified(self.star_pairs())
+        first = self.verified(self.bounded(self.leaf_pairs().unionByName(self.star_pairs())))
         roots = written(components(first), "jaccard-roots")
         second = self.verified(self.tree_pairs(roots))
         if second.isEmpty():
