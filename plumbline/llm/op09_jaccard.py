@@ -8,8 +8,9 @@ So that no pair of all entities need be looked at, entities meet only in cells:
 ones last, then by hash), two sets that are similar enough share one of their first n - ceil(0.8 n) + 1. Cells of one
 leaf are joined as they are, and pairs go on if they share enough of such cells. In a large cell, first every entity is
 compared with the one that shares most (its star), then R-trees join what different components still have in common;
-the largest are divided into blocks, and pairs of blocks are tasks of their own. Every pair whose
-bound allows it is verified on the whole sets. No link between components is lost; entities that are connected
+the largest are divided into blocks, and pairs of blocks are tasks of their own. So few groups
+bound long sets badly, so that pairs are then bounded again by finer vectors of the same kind, whose groups grow with
+the set (two vectors are compared at the coarser one's). Every pair whose bounds allow it is verified on the whole sets. No link between components is lost; entities that are connected
 already need no further links.
 
 Defined results: null and empty texts have no set, n_shingles 0, and are linked with nothing; a text of fewer than five
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import forget, released, written
@@ -34,6 +36,8 @@ from .shingles import distinct, shingle_sets, slices
 PERCENT = 80
 #: Coordinates of a point; entities in a leaf of a tree, and in a block of a large cell.
 GROUPS, LEAF, BLOCK = 256, 32, 512
+#: A finer vector has a power of two of groups, with no more than so many shingles a group on average.
+PER_GROUP = 8
 #: A shingle is frequent from one in so many texts on; texts are looked at whole, summaries have so many rows a task.
 FREQUENT, TASK_SUMMARY, MOST_FREQUENT = 500, 4_096, 65_536
 #: Bits of the filter that tells which texts' sets are needed (false positives cost time only).
@@ -94,10 +98,18 @@ def _prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         at = min(len(s), at + max(16, 2 * (need - take)))
 
 
-def _point(s: np.ndarray) -> bytes:
+def _point(s: np.ndarray, groups: int = GROUPS) -> bytes:
     """Counts by group; all 255 (no bound) where one doesn't fit a byte."""
-    counts = np.bincount((s >> np.uint64(17)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return (counts if counts.max() < 255 else np.full(GROUPS, 255)).astype(np.uint8).tobytes()
+    counts = np.bincount((s >> np.uint64(17)).astype(np.int64) % groups, minlength=groups)
+    return (counts if counts.max() < 255 else np.full(groups, 255)).astype(np.uint8).tobytes()
+
+
+def _fine(s: np.ndarray) -> bytes | None:
+    """Counts by more groups, where a point's are too few for the set."""
+    groups = GROUPS
+    while len(s) > PER_GROUP * groups:
+        groups *= 2
+    return _point(s, groups) if groups > GROUPS else None
 
 
 def set_id(s: np.ndarray) -> int:
@@ -114,8 +126,9 @@ def _features(shared):
                 sets = shingle_sets(batch.column(1))
                 keys = pa.array([_prefix(s, frequent).view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64()))
                 points = pa.array([_point(s) if len(s) else None for s in sets], pa.binary())
+                fine = pa.array([_fine(s) if len(s) else None for s in sets], pa.binary())
                 ids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), ids, keys, points], ["doc_id", "n", "sid", "keys", "point"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), ids, keys, points, fine], ["doc_id", "n", "sid", "keys", "point", "fine"])
 
     return make
 
@@ -151,15 +164,28 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def _vectors(column: pa.Array, groups: int) -> np.ndarray:
+    """Vectors of one length, folded to so many groups; all 255 stay so."""
+    whole = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    folded = whole.reshape(len(column), -1, groups).sum(1, dtype=np.uint32)
+    folded[whole[:, 0] == 255] = 1 << 30
+    return folded
+
+
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs (a, b, n, m, points) those that the summed minima allow."""
+    """Of pairs (a, b, n, m, vectors) those that the summed minima allow."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        p, q = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, GROUPS) for i in (4, 5))
         need = least_overlap(batch.column(2).to_numpy(), batch.column(3).to_numpy())
-        full = (p[:, 0] == 255) | (q[:, 0] == 255)
-        good = (np.minimum(p, q).sum(1, dtype=np.int64) >= need) | full
+        x, y = (pc.binary_length(batch.column(i)).to_numpy().astype(np.int64) for i in (4, 5))
+        good = np.zeros(batch.num_rows, bool)
+        for p, q in np.unique(np.stack([x, y]), axis=1).T.tolist():
+            rows, groups = np.flatnonzero((x == p) & (y == q)), min(p, q)
+            for at in range(0, len(rows), max(1, (1 << 22) // max(p, q))):
+                some = rows[at : at + max(1, (1 << 22) // max(p, q))]
+                left, right = (_vectors(batch.column(i).take(pa.array(some)), groups) for i in (4, 5))
+                good[some] = np.minimum(left, right).sum(1, dtype=np.int64) >= need[some]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
 
 
@@ -293,19 +319,19 @@ def _leaves(rows: pa.Table, sizes: np.ndarray) -> pa.RecordBatch | None:
 
 
 class Join:
-    """The join's tables: entities (sid, rep, n, point), rows (doc_id, n, sid), and cells (key, sid, n, best)."""
+    """The join's tables: entities (sid, rep, n, point, fine), rows (doc_id, n, sid), and cells (key, sid, n, best)."""
 
     def __init__(self, docs: DataFrame, id_col: str, text: str):
         self.spark = docs.sparkSession
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
         sc = self.spark.sparkContext
         frequent = frequent_shingles(self.docs.select("text"), self.docs.count())
-        features = written(self.docs.mapInArrow(_features(sc.broadcast(frequent)), "doc_id long, n long, sid long, keys array<long>, point binary"), "jaccard-features")
+        features = written(self.docs.mapInArrow(_features(sc.broadcast(frequent)), "doc_id long, n long, sid long, keys array<long>, point binary, fine binary"), "jaccard-features")
         # Copies are reduced to one entity before anything is exchanged.
-        firsts = features.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"))
+        firsts = features.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"), F.first("fine").alias("fine"))
         full = written(firsts, "jaccard-full")
         self.rows = written(features.select("doc_id", "n", "sid"), "jaccard-rows")
-        self.entities = written(full.select("sid", "rep", "n", "point"), "jaccard-entities")
+        self.entities = written(full.select("sid", "rep", "n", "point", "fine"), "jaccard-entities")
         forget(features)
         released(self.spark)
         self.cells = self._cells(full.select("sid", "keys"))
@@ -366,9 +392,9 @@ class Join:
         return star.select(F.col("best").alias("a"), F.col("sid").alias("b"), F.col("best_n").alias("n"), F.col("n").alias("m")).distinct()
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
-        """Those of pairs (a, b, n, m) whose points' summed minima allow a link."""
-        point = self.entities.select("sid", "point")
-        full = pairs.join(point.withColumnsRenamed({"sid": "a", "point": "p"}), "a").join(point.withColumnsRenamed({"sid": "b", "point": "q"}), "b")
+        """Those of pairs (a, b, ...) whose finest vectors' summed minima allow a link."""
+        vector = self.entities.select("sid", "n", F.coalesce("fine", "point").alias("v"))
+        full = pairs.select("a", "b").join(vector.withColumnsRenamed({"sid": "a", "v": "p"}), "a").join(vector.withColumnsRenamed({"sid": "b", "n": "m", "v": "q"}), "b")
         return full.select("a", "b", "n", "m", "p", "q").mapInArrow(_bounded, "a long, b long")
 
     def tree_pairs(self, roots: DataFrame) -> DataFrame:
@@ -390,7 +416,7 @@ class Join:
         """Links that connect all components, and (node, root) of the entities that have any."""
         first = self.verified(self.bounded(self.leaf_pairs().unionByName(self.star_pairs())))
         roots = written(components(first), "jaccard-roots")
-        second = self.verified(self.tree_pairs(roots))
+        second = self.verified(self.bounded(self.tree_pairs(roots)))
         if second.isEmpty():
             return first, roots
         both = first.unionByName(second)

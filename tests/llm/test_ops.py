@@ -283,6 +283,28 @@ def test_rtree_finds_all_pairs():
                 assert (i, j) in found
 
 
+def test_fine_vectors_bound_long_sets():
+    import numpy as np
+    import pyarrow as pa
+
+    from plumbline.llm import op09_jaccard as m
+
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 63, 9_000, dtype=np.uint64))
+    shorter, other = base[:7_500], np.unique(rng.integers(0, 1 << 63, 9_000, dtype=np.uint64))
+    near = np.unique(np.concatenate([base[:8_200], rng.integers(0, 1 << 63, 300, dtype=np.uint64)]))
+    sets = [base, near, shorter, other, base[:2_000]]
+    vectors = [m._fine(x) or m._point(x) for x in sets]
+    assert len(vectors[0]) == 2_048 and len(vectors[2]) == 1_024 and len(vectors[4]) == m.GROUPS
+    full = b"\xff" * m.GROUPS
+    pairs = [(0, 1), (0, 2), (0, 3), (2, 3), (1, 2)]
+    rows = [(i, j, len(sets[i]), len(sets[j]), vectors[i], vectors[j]) for i, j in pairs] + [(0, 4, 9_000, 7_300, vectors[0], full)]
+    types = [pa.int64()] * 4 + [pa.binary()] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], list("abnmpq"))
+    got = {(r["a"], r["b"]) for out in m._bounded(iter([batch])) for r in out.to_pylist()}
+    assert got == {(0, 1), (0, 2), (1, 2), (0, 4)}
+
+
 def test_quality(spark, sf, texts):
     from plumbline.llm.op10_quality import keep_good, op10_quality
 
