@@ -2,7 +2,9 @@
 
 A language's references are the mean histograms of all documents said to be in it: one of character classes, one of
 its commonest function words (and all other words as one more bin). A document goes when a distance is above its
-bound and the document has enough words for the distance to mean something, or when it fails the base rules.
+bound and the document has enough words for the distance to mean something, or when it fails the base rules. The bound
+of word distances is a fence above the quartiles of the language's own distances, so that it lies between the bulk and
+the texts without common words.
 
 Defined results: a null text is an empty one, which fails the base rules; a null or unknown language is compared with
 the character classes of all such documents and has no word test; ties and repeated rows get equal verdicts; an empty
@@ -11,11 +13,13 @@ table gives an empty result; columns of the input are kept, and those added here
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import text_or_empty, words, written
+from .common import forget, text_or_empty, words, written
 
 #: The most frequent function words of each language that has a word test.
 FUNCTION_WORDS = {
@@ -26,6 +30,8 @@ FUNCTION_WORDS = {
 }
 #: Character classes that are counted; other letters and the rest are told by subtraction, white space from the words.
 RARE_CLASSES = {"upper": r"\p{Lu}", "digit": r"[0-9]", "punct": r"[.,;:!?'\"()\-]", "symbol": r"[#*$%&|<>]"}
+#: Bins of word distances from 0 to 1.
+BINS = 1_000
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -36,7 +42,9 @@ class Rules:
     window: int = 8
     class_bound: float = 0.33
     class_least_words: int = 25
-    word_bound: float = 0.44
+    word_fence: float = 2.0  # interquartile ranges above the upper quartile
+    word_bound: float = 0.44  # where a language has fewer than word_least_texts different distances
+    word_least_texts: int = 20
     word_least_words: int = 50
     function_words: dict = field(default_factory=lambda: FUNCTION_WORDS)
 
@@ -159,6 +167,33 @@ def _distance(counts: Column, reference: list[float]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(out / 2, F.lit(0.0)))).otherwise(0.0)
 
 
+def _word_distance(refs: dict[str, tuple[list[float], list[float]]], rules: Rules) -> Column:
+    out = F.lit(0.0)
+    for lang, (_, common) in sorted(refs.items()):
+        if lang:
+            out = F.when(_known(rules) == lang, _distance(F.col("_common"), common)).otherwise(out)
+    return out
+
+
+def word_bounds(hist: DataFrame, refs: dict[str, tuple[list[float], list[float]]], rules: Rules) -> dict[str, float]:
+    """For each known language, the bound of word distances; BINS rows a language at most come to the driver.
+
+    hist is as for references(). Copies have one distance and count once.
+    """
+    each = hist.filter((F.col("n_words") >= rules.word_least_words) & (_known(rules) != "")).select(_known(rules).alias("known"), F.round(_word_distance(refs, rules), 6).alias("d")).distinct()
+    rows = each.groupBy("known", F.floor(F.col("d") * BINS).alias("bin")).count().collect()
+    out = {}
+    for lang in rules.function_words:
+        bins = sorted((r["bin"], r["count"]) for r in rows if r["known"] == lang)
+        at, n = [b for b, _ in bins], list(accumulate(c for _, c in bins))
+        if n and n[-1] >= rules.word_least_texts:
+            low, high = ((at[bisect_left(n, n[-1] * part / 4)] + 0.5) / BINS for part in (1, 3))
+            out[lang] = high + rules.word_fence * (high - low)
+        else:
+            out[lang] = rules.word_bound
+    return out
+
+
 #: What a verdict needs of a text.
 FEATURES = [*BASE, "_chars", "_classes", "_common"]
 
@@ -172,33 +207,37 @@ def features(df: DataFrame, rules: Rules) -> DataFrame:
 VERDICT = ["class_distance", "word_distance", "base_failed", "kept"]
 
 
-def verdict(df: DataFrame, refs: dict[str, tuple[list[float], list[float]]], rules: Rules) -> DataFrame:
-    """df with FEATURES and lang becomes df with BASE and VERDICT."""
-    class_d = word_d = F.lit(0.0)
-    for lang, (classes, common) in sorted(refs.items()):
+def verdict(df: DataFrame, refs: dict[str, tuple[list[float], list[float]]], bounds: dict[str, float], rules: Rules) -> DataFrame:
+    """df with FEATURES and lang becomes df with BASE and VERDICT; bounds are those of word distances."""
+    class_d = F.lit(0.0)
+    for lang, (classes, _) in sorted(refs.items()):
         class_d = F.when(_known(rules) == lang, _distance(F.col("_classes"), classes)).otherwise(class_d)
-        if lang:
-            word_d = F.when(_known(rules) == lang, _distance(F.col("_common"), common)).otherwise(word_d)
+    bound = F.lit(rules.word_bound)
+    for lang, value in sorted(bounds.items()):
+        bound = F.when(_known(rules) == lang, value).otherwise(bound)
     failed = (F.col("n_words") < rules.least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.most_repeated)
-    far = ((F.col("class_distance") > rules.class_bound) & (F.col("n_words") >= rules.class_least_words)) | ((F.col("word_distance") > rules.word_bound) & (F.col("n_words") >= rules.word_least_words))
-    out = df.withColumns({"class_distance": class_d, "word_distance": word_d, "base_failed": failed})
+    far = ((F.col("class_distance") > rules.class_bound) & (F.col("n_words") >= rules.class_least_words)) | ((F.col("word_distance") > bound) & (F.col("n_words") >= rules.word_least_words))
+    out = df.withColumns({"class_distance": class_d, "word_distance": _word_distance(refs, rules), "base_failed": failed})
     return out.withColumn("kept", ~F.col("base_failed") & ~far).drop("_chars", "_classes", "_common")
 
 
 def judge(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """df without text, with the base counts, the two distances, base_failed and kept: one pass over the texts."""
     small = written(features(df, rules).drop("text"), "quality")
-    return verdict(small, references(small, rules), rules)
+    refs = references(small, rules)
+    return verdict(small, refs, word_bounds(small, refs, rules), rules)
 
 
 def keep_good(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of df that the rules keep, with their texts and columns unchanged.
 
-    A first pass gathers the references; a second one judges each text where it is, so that no text is shuffled.
+    A first pass gathers the references and bounds; a second one judges each text where it is, so that no text is shuffled.
     """
-    hist = with_histograms(df.select("text", "lang"), rules)
+    hist = written(with_histograms(df.select("text", "lang"), rules).select("lang", "n_words", "_chars", "_classes", "_common"), "quality-histograms")
     refs = references(hist, rules)
-    marked = verdict(features(df.withColumn("_row", F.struct(*df.columns)), rules), refs, rules)
+    bounds = word_bounds(hist, refs, rules)
+    forget(hist)
+    marked = verdict(features(df.withColumn("_row", F.struct(*df.columns)), rules), refs, bounds, rules)
     # A column that isn't deterministic keeps the filter above the verdict: pushed below, it would repeat all of it.
     marked = marked.withColumn("_place", F.monotonically_increasing_id())
     return marked.filter(F.col("kept") & (F.col("_place") >= 0)).select("_row.*")

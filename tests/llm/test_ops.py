@@ -323,6 +323,21 @@ def test_quality(spark, sf, texts):
     assert {r["doc_id"] for r in keep_good(docs).collect()} == {i for i, r in got.items() if r["kept"]}
 
 
+def test_quality_word_test_decides(spark):
+    from plumbline.llm.op10_quality import FUNCTION_WORDS, Rules, judge, keep_good
+
+    rng, common = random.Random(7), FUNCTION_WORDS["en"]
+    made = lambda n, share: " ".join(rng.choice(common) if rng.random() < share else "".join(rng.choice("aeinrst") for _ in range(6)) for _ in range(n))
+    clean, junk = [made(rng.randint(60, 300), 0.3) for _ in range(60)], [made(120, 0) for _ in range(6)]
+    rows = [(i, t, "en") for i, t in enumerate(clean + junk + junk[:1] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in judge(docs).collect()}
+    bad = set(range(60, len(rows)))
+    assert {i for i, r in got.items() if not r["kept"]} == bad
+    assert not any(got[i]["base_failed"] or got[i]["class_distance"] > Rules().class_bound for i in bad)
+    assert {r["doc_id"] for r in keep_good(docs).collect()} == set(range(60))
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
 
