@@ -10,8 +10,10 @@ leaf are joined as they are, and pairs go on if they share enough of such cells.
 compared with the one that shares most (its star), then R-trees join what different components still have in common;
 the largest are divided into blocks, and pairs of blocks are tasks of their own. So few groups
 bound long sets badly, so that pairs are then bounded again by finer vectors of the same kind, whose groups grow with
-the set (two vectors are compared at the coarser one's). Every pair whose bounds allow it is verified on the whole sets. No link between components is lost; entities that are connected
-already need no further links.
+the set (two vectors are compared at the coarser one's). Every pair whose bounds allow it is verified on the whole sets. No link between components is lost; where
+only components are asked for, entities that are connected already need no further links. Where links are counted, R-trees
+join all of a large cell's entities, so that every link is verified; a row's links are the other rows whose sets
+are similar, copies among them.
 
 Defined results: null and empty texts have no set, n_shingles 0, and are linked with nothing; a text of fewer than five
 words is one shingle; rows without an id are linked like others, and a component's id is the least id that isn't
@@ -377,7 +379,7 @@ class Join:
         table, got = np.zeros(FILTER_BITS // 32, np.uint32), words.toArrow()
         table[got.column("w").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
         source = self.docs.select("doc_id", _bit(F.col("doc_id")).alias("bit"), "text").filter("doc_id is not null")
-        sets = written(source.mapInArrow(_sets(self.spark.sparkContext.broadcast(table.tobytes())), "sid long, set binary"), "jaccard-sets")
+        sets = written(source.mapInArrow(_sets(self.spark.sparkContext.broadcast(table.tobytes())), "sid long, set binary").dropDuplicates(["sid"]), "jaccard-sets")
         left, right = sets.select(F.col("sid").alias("a"), F.col("set").alias("s")), sets.select(F.col("sid").alias("b"), F.col("set").alias("t"))
         out = written(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(_overlaps, "a long, b long"), "jaccard-links")
         forget(sets)
@@ -397,10 +399,13 @@ class Join:
         full = pairs.select("a", "b").join(vector.withColumnsRenamed({"sid": "a", "v": "p"}), "a").join(vector.withColumnsRenamed({"sid": "b", "n": "m", "v": "q"}), "b")
         return full.select("a", "b", "n", "m", "p", "q").mapInArrow(_bounded, "a long, b long")
 
-    def tree_pairs(self, roots: DataFrame) -> DataFrame:
-        """Pairs of different components (roots: node, root) in cells that hold several, from the R-trees of each cell."""
-        cells = self.cells.join(roots, self.cells["sid"] == roots["node"], "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root"))
-        cells = written(cells, "jaccard-rooted")
+    def tree_pairs(self, roots: DataFrame | None) -> DataFrame:
+        """Pairs of different components (roots: node, root) in cells that hold several, from the R-trees of each cell; without roots, all pairs."""
+        if roots is None:
+            cells = self.cells.select("key", "sid", "n", F.col("sid").alias("root"))
+        else:
+            cells = self.cells.join(roots, self.cells["sid"] == roots["node"], "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root"))
+            cells = written(cells, "jaccard-rooted")
         mixed = cells.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo < hi")
         left = cells.join(written(mixed.select("key", "size"), "jaccard-mixed"), "key")
         # A cell with only one size class, and so no pair within the ratio, ends in the tree; large ones go in pairs of blocks.
@@ -422,16 +427,30 @@ class Join:
         both = first.unionByName(second)
         return both, written(components(both), "jaccard-roots")
 
-    def members(self) -> DataFrame:
-        """(doc_id, n_shingles, component_id) of every row."""
-        _, roots = self.links()
+    def all_links(self) -> DataFrame:
+        """Every linked pair of entities (a, b), once."""
+        return self.verified(self.bounded(self.leaf_pairs().select("a", "b").unionByName(self.tree_pairs(None)).distinct()))
+
+    def counted(self) -> DataFrame:
+        """(doc_id, n_shingles, component_id, n_links) of every row."""
+        links = self.all_links()
+        copies = written(self.rows.filter("sid is not null").groupBy("sid").agg(F.count(F.lit(1)).alias("copies")), "jaccard-copies")
+        ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        others = ends.join(copies, ends["b"] == copies["sid"]).groupBy("a").agg(F.sum("copies").alias("others"))
+        n = copies.join(others, copies["sid"] == others["a"], "left").select(F.col("sid").alias("s"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+        rows = self.members(written(components(links), "jaccard-roots"), "sid")
+        return rows.join(n, rows["sid"] == n["s"], "left").select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+    def members(self, roots: DataFrame | None = None, *more: str) -> DataFrame:
+        """(doc_id, n_shingles, component_id) of every row, and more of its columns; roots are those of links() if not given."""
+        roots = self.links()[1] if roots is None else roots
         entity = self.entities.select("sid", "rep")
         rooted = entity.join(roots, entity["sid"] == roots["node"], "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
         least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
         table = written(rooted.join(least, "root").select(F.col("sid").alias("s"), "component_id"), "jaccard-table")
         rows = self.rows.select("doc_id", F.col("n").alias("n_shingles"), "sid")
         out = rows.join(table, rows["sid"] == table["s"], "left")
-        return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *more)
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -439,4 +458,4 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return Join(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text").counted()

@@ -260,6 +260,26 @@ def test_jaccard(spark, sf, texts):
     assert got == {i: (len(s), root(i)) for i, s in enumerate(sets)}
 
 
+def test_jaccard_counts_all_links(spark, tmp_path):
+    from plumbline.llm.op09_jaccard import op9_jaccard
+
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(1000)}" for _ in range(150)]
+    near = []
+    for _ in range(80):
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        near.append(" ".join(w))
+    rows = near + near[:3] * 2 + [None, "", "some other words that are in no group"]
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    sets = [shingles(t) for t in rows]
+    linked = lambda a, b: bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+    expected = {i: sum(i != j and linked(a, b) for j, b in enumerate(sets)) for i, a in enumerate(sets)}
+    assert max(expected.values()) > 32 and len(set(expected.values())) > 5
+    assert {r["doc_id"]: r["n_links"] for r in op9_jaccard(spark, str(tmp_path)).collect()} == expected
+
+
 def test_rtree_finds_all_pairs():
     import numpy as np
 
