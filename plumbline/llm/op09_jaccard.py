@@ -130,11 +130,16 @@ def _features(shared):
                 points = pa.array([_point(s) if len(s) else None for s in sets], pa.binary())
                 fine = pa.array([_fine(s) if len(s) else None for s in sets], pa.binary())
                 ids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), ids, keys, points, fine], ["doc_id", "n", "sid", "keys", "point", "fine"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), ids, keys, points, fine], ["doc_id", "tag", "n", "sid", "keys", "point", "fine"])
 
     return make
 
 
+def _tag() -> Column:
+    """What a row's text is found by again: the id, or the text's hash where that is null."""
+    return F.coalesce("doc_id", F.xxhash64("text"))
+
+
 def _bit(of: Column) -> Column:
     return F.pmod(F.xxhash64(of), F.lit(FILTER_BITS))
 
@@ -321,19 +326,20 @@ def _leaves(rows: pa.Table, sizes: np.ndarray) -> pa.RecordBatch | None:
 
 
 class Join:
-    """The join's tables: entities (sid, rep, n, point, fine), rows (doc_id, n, sid), and cells (key, sid, n, best)."""
+    """The join's tables: entities (sid, rep, tag, n, point, fine), rows (doc_id, n, sid), and cells (key, sid, n, best)."""
 
     def __init__(self, docs: DataFrame, id_col: str, text: str):
         self.spark = docs.sparkSession
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
         sc = self.spark.sparkContext
         frequent = frequent_shingles(self.docs.select("text"), self.docs.count())
-        features = written(self.docs.mapInArrow(_features(sc.broadcast(frequent)), "doc_id long, n long, sid long, keys array<long>, point binary, fine binary"), "jaccard-features")
+        tagged = self.docs.select("doc_id", "text", _tag().alias("tag"))
+        features = written(tagged.mapInArrow(_features(sc.broadcast(frequent)), "doc_id long, tag long, n long, sid long, keys array<long>, point binary, fine binary"), "jaccard-features")
         # Copies are reduced to one entity before anything is exchanged.
-        firsts = features.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"), F.first("fine").alias("fine"))
+        firsts = features.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("tag").alias("tag"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"), F.first("fine").alias("fine"))
         full = written(firsts, "jaccard-full")
         self.rows = written(features.select("doc_id", "n", "sid"), "jaccard-rows")
-        self.entities = written(full.select("sid", "rep", "n", "point", "fine"), "jaccard-entities")
+        self.entities = written(full.select("sid", "rep", "tag", "n", "point", "fine"), "jaccard-entities")
         forget(features)
         released(self.spark)
         self.cells = self._cells(full.select("sid", "keys"))
@@ -374,11 +380,11 @@ class Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those of pairs (a, b) whose whole sets are similar. Only the sets of pairs are made, from their texts again."""
         pairs = written(pairs, "jaccard-pairs")
-        inside = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct().join(self.entities.select("sid", "rep"), "sid")
-        words = inside.select(_bit(F.col("rep")).alias("bit")).groupBy(F.shiftright("bit", 5).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits"))
+        inside = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct().join(self.entities.select("sid", "tag"), "sid")
+        words = inside.select(_bit(F.col("tag")).alias("bit")).groupBy(F.shiftright("bit", 5).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits"))
         table, got = np.zeros(FILTER_BITS // 32, np.uint32), words.toArrow()
         table[got.column("w").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
-        source = self.docs.select("doc_id", _bit(F.col("doc_id")).alias("bit"), "text").filter("doc_id is not null")
+        source = self.docs.select("doc_id", _bit(_tag()).alias("bit"), "text")
         sets = written(source.mapInArrow(_sets(self.spark.sparkContext.broadcast(table.tobytes())), "sid long, set binary").dropDuplicates(["sid"]), "jaccard-sets")
         left, right = sets.select(F.col("sid").alias("a"), F.col("set").alias("s")), sets.select(F.col("sid").alias("b"), F.col("set").alias("t"))
         out = written(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(_overlaps, "a long, b long"), "jaccard-links")

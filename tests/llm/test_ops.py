@@ -280,6 +280,16 @@ def test_jaccard_counts_all_links(spark, tmp_path):
     assert {r["doc_id"]: r["n_links"] for r in op9_jaccard(spark, str(tmp_path)).collect()} == expected
 
 
+def test_jaccard_links_rows_without_id(spark):
+    from plumbline.llm.op09_jaccard import similar
+
+    w = [f"w{i}" for i in range(100)]
+    # The second text is similar to both others, which aren't similar to each other.
+    texts = [(1, w), (None, w[8:] + [f"x{i}" for i in range(8)]), (2, w[16:] + [f"x{i}" for i in range(16)])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in similar(docs).collect()} == {(1, 1), (None, 1), (2, 1)}
+
+
 def test_rtree_finds_all_pairs():
     import numpy as np
 
