@@ -30,9 +30,16 @@ _RAW = {n: re.compile(rf"</{n}\b[^>]*(?:>|\Z)|\Z", re.I) for n in ("script", "st
 _NO_TEXT = {*_RAW, "head", "nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "object", "canvas", "audio", "video"}
 _BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_OUTSIDE_WORDS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|comments?|disqus|replies|respond|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|sidebar|side|widget|related|recommend\w*|share|sharing|social|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|legal|copyright)(?=$|[\s_\d-])", re.I)
-_NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_OUTSIDE = r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|comments?|disqus|replies|respond|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|sidebar|side|widget|related|recommend\w*|share|sharing|social|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|legal|copyright)"
+_OUTSIDE_WORDS = re.compile(rf"(?:^|[\s_-]){_OUTSIDE}(?=$|[\s_\d-])", re.I)
+#: In an article, only a whole class, id or role counts.
+_OUTSIDE_WORD = re.compile(_OUTSIDE, re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+
+
+def _is_hidden(named: dict[str, str]) -> bool:
+    return named.get("hidden", "false").lower() != "false" or named.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(named.get("style", "")))
 
 
 def _is_outside(name: str, attributes: str, inside_article: bool) -> bool:
@@ -40,9 +47,14 @@ def _is_outside(name: str, attributes: str, inside_article: bool) -> bool:
         return not (name == "header" and inside_article)
     if name in ("html", "body", "article", "main") or not attributes:
         return False
-    if _HIDDEN.search(attributes):
+    named: dict[str, str] = {}
+    for key, *values in _ATTRIBUTE.findall(attributes):
+        named.setdefault(key.lower(), "".join(values))
+    if _is_hidden(named):
         return True
-    return any(_OUTSIDE_WORDS.search(next(g for g in m if g is not None)) for m in (x.groups() for x in _NAMES.finditer(attributes)))
+    if inside_article:
+        return any(_OUTSIDE_WORD.fullmatch(w) for k in ("class", "id", "role") for w in named.get(k, "").split())
+    return any(_OUTSIDE_WORDS.search(named[k]) for k in ("class", "id", "role", "aria-label") if k in named)
 
 
 def parse(page: str) -> list[tuple[str, str, bool]]:

@@ -112,6 +112,16 @@ def test_extract(spark):
     assert extract(long, {"": 1.0, "p": -0.01}).count("\n") == 19_999
 
 
+def test_extract_drops_only_hidden_and_outside_elements():
+    from plumbline.llm.op02_extract import extract
+
+    weights = {"": 1.0}
+    for kept in ('class="overflow-hidden"', 'style="overflow:hidden"', 'hidden="false"', 'class="side-note"', 'class="legal-history"'):
+        assert extract(f"<article><div {kept}><p>one two</p></div></article>", weights) == "one two", kept
+    for gone in ("hidden", 'hidden=""', 'aria-hidden="true"', 'style="color:red; display: none"', "style='visibility:hidden'", 'class="x share"'):
+        assert extract(f"<article><p>one two</p><div {gone}><p>three</p></div></article>", weights) == "one two", gone
+
+
 def test_sharding(spark, sf, texts):
     from plumbline.llm.op03_sharding import op3_sharding, shard
 
