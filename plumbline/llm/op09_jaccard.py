@@ -2,22 +2,21 @@
 
 Each text is its set of 5-word shingles (64-bit hashes); texts with equal sets are one entity. Shingles are hashed into
 GROUPS groups, and an entity's counts of each group are a point; the sum of two points' coordinate minima bounds the
-overlap of their sets from above, and so does that of the upper corners of two R-tree nodes for all pairs in them.
-
-So that no pair of all entities need be looked at, entities meet only in cells: of an order of all shingles (frequent
-ones last, then by hash), two sets that are similar enough share one of their first n - ceil(0.8 n) + 1. Cells of one
-leaf are joined as they are, and pairs go on if they share enough of such cells. In a large cell, first every entity is
-compared with the one that shares most (its star), then R-trees join what different components still have in common;
-the largest are divided into blocks, and pairs of blocks are tasks of their own. So few groups
-bound long sets badly, so that pairs are then bounded again by finer vectors of the same kind, whose groups grow with
-the set (two vectors are compared at the coarser one's). Every pair whose bounds allow it is verified on the whole sets. No link between components is lost; where
-only components are asked for, entities that are connected already need no further links. Where links are counted, R-trees
-join all of a large cell's entities, so that every link is verified; a row's links are the other rows whose sets
-are similar, copies among them.
+overlap of their sets from above, and so does that of the upper corners of two R-tree nodes for all pairs in them. Long
+sets, which so few groups bound badly, are bounded again by finer vectors, whose groups grow with the set.
+
+So that no pair of all entities need be looked at, entities meet in cells: of an order of all shingles (frequent ones
+last, then by hash), two sets that are similar enough share one of their first n - ceil(0.8 n) + 1. The entity of a
+cell that comes first in a fixed order is the cell's leader, and cells of one leader are one place: all pairs of a cell
+have its leader in common, so each pair is looked at in the place of the least leader they share. Large places are
+divided into blocks, and pairs of blocks are tasks of their own. A first R-tree join of a block pair tells which
+entities have any partner that the bounds allow; only their sets are made, and a second join verifies every pair that is
+left, on whole sets, by products of incidence matrices. Pairs never leave a task: it returns a spanning forest of its
+links, and each entity's number of them.
 
 Defined results: null and empty texts have no set, n_shingles 0, and are linked with nothing; a text of fewer than five
 words is one shingle; rows without an id are linked like others, and a component's id is the least id that isn't
-null; an empty table gives an empty result.
+null; a row's links are the other rows whose sets are similar, copies among them; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,12 +31,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import forget, released, written
 from .components import components
-from .shingles import distinct, shingle_sets, slices
+from .shingles import shingle_sets, slices
 
 #: Similarity in hundredths.
 PERCENT = 80
-#: Coordinates of a point; entities in a leaf of a tree, and in a block of a large cell.
-GROUPS, LEAF, BLOCK = 256, 32, 512
+#: Coordinates of a point; entities in a leaf of a tree; leaves that are verified at a time.
+GROUPS, LEAF, LEAVES = 256, 32, 8
+#: Entities, and bytes of their sets, in a block of a place; numbers in a matrix.
+BLOCK, BLOCK_BYTES, MATRIX = 2_048, 16 << 20, 4 << 20
 #: A finer vector has a power of two of groups, with no more than so many shingles a group on average.
 PER_GROUP = 8
 #: A shingle is frequent from one in so many texts on; texts are looked at whole, summaries have so many rows a task.
@@ -160,40 +161,29 @@ def _sets(shared):
     return make
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs (a, b, their sets) those that are linked."""
-    for batch in batches:
-        good = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            common = len(s) + len(t) - len(distinct(np.concatenate([s, t])))
-            good.append(100 * common >= PERCENT * (len(s) + len(t) - common))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
-
+def _folded(vectors: list[bytes], groups: int) -> np.ndarray:
+    """Vectors folded to so many groups; those that are no bound stay none."""
+    out = np.empty((len(vectors), groups), np.uint32)
+    for k, v in enumerate(vectors):
+        whole = np.frombuffer(v, np.uint8)
+        out[k] = whole.reshape(-1, groups).sum(0, dtype=np.uint32) if whole[0] < 255 else 1 << 30
+    return out
 
-def _vectors(column: pa.Array, groups: int) -> np.ndarray:
-    """Vectors of one length, folded to so many groups; all 255 stay so."""
-    whole = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-    folded = whole.reshape(len(column), -1, groups).sum(1, dtype=np.uint32)
-    folded[whole[:, 0] == 255] = 1 << 30
-    return folded
 
-
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs (a, b, n, m, vectors) those that the summed minima allow."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        need = least_overlap(batch.column(2).to_numpy(), batch.column(3).to_numpy())
-        x, y = (pc.binary_length(batch.column(i)).to_numpy().astype(np.int64) for i in (4, 5))
-        good = np.zeros(batch.num_rows, bool)
-        for p, q in np.unique(np.stack([x, y]), axis=1).T.tolist():
-            rows, groups = np.flatnonzero((x == p) & (y == q)), min(p, q)
-            for at in range(0, len(rows), max(1, (1 << 22) // max(p, q))):
-                some = rows[at : at + max(1, (1 << 22) // max(p, q))]
-                left, right = (_vectors(batch.column(i).take(pa.array(some)), groups) for i in (4, 5))
-                good[some] = np.minimum(left, right).sum(1, dtype=np.int64) >= need[some]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
+def _finely_allowed(fine: list[bytes | None], n: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs (x, y) the summed minima of finer vectors allow, compared at the coarser one's groups."""
+    size = np.array([len(v) if v is not None else 0 for v in fine])
+    groups, good = np.minimum(size[x], size[y]), np.ones(len(x), bool)
+    for g in np.unique(groups[groups > 0]).tolist():
+        rows = np.flatnonzero(groups == g)
+        wide = int(max(size[x[rows]].max(), size[y[rows]].max()))
+        for at in range(0, len(rows), max(1, (1 << 22) // wide)):
+            some = rows[at : at + max(1, (1 << 22) // wide)]
+            used, place = np.unique(np.concatenate([x[some], y[some]]), return_inverse=True)
+            folded = _folded([fine[k] for k in used], g)
+            left, right = folded[place[: len(some)]], folded[place[len(some) :]]
+            good[some] = np.minimum(left, right).sum(1, dtype=np.int64) >= least_overlap(n[x[some]], n[y[some]])
+    return good
 
 
 class RTree:
@@ -211,17 +201,22 @@ class RTree:
             starts = np.arange(0, len(corner), LEAF)
             self.levels.append((np.maximum.reduceat(corner, starts), np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)))
 
-    def join(self, other: "RTree") -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of places in the two inputs whose bound allows a link, from leaf to leaf."""
+    def leaves(self, other: "RTree") -> list[tuple[int, int]]:
+        """Pairs of leaves whose corners allow a link; those of a tree with itself come once."""
         depth = min(len(self.levels), len(other.levels)) - 1
         a, b = self.levels[depth], other.levels[depth]
-        pairs = [(i, j) for i in range(len(a[1])) for j in range(len(b[1]))]
+        pairs = [(i, j) for i in range(len(a[1])) for j in range(len(b[1])) if self is not other or i <= j]
         for level in range(depth, -1, -1):
             a, b = self.levels[level], other.levels[level]
             pairs = self._allowed(a, b, pairs)
             if level:
-                pairs = [(i, j) for x, y in pairs for i in range(x * LEAF, min((x + 1) * LEAF, len(self.levels[level - 1][1]))) for j in range(y * LEAF, min((y + 1) * LEAF, len(other.levels[level - 1][1])))]
-        for x, y in pairs:
+                below, over = len(self.levels[level - 1][1]), len(other.levels[level - 1][1])
+                pairs = [(i, j) for x, y in pairs for i in range(x * LEAF, min((x + 1) * LEAF, below)) for j in range(y * LEAF, min((y + 1) * LEAF, over)) if self is not other or i <= j]
+        return pairs
+
+    def join(self, other: "RTree") -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of places in the two inputs whose bound allows a link, from leaf to leaf."""
+        for x, y in self.leaves(other):
             p, q = slice(x * LEAF, (x + 1) * LEAF), slice(y * LEAF, (y + 1) * LEAF)
             n, m = self.n[p][:, None], other.n[q][None, :]
             P, Q = self.points[p], other.points[q]
@@ -253,80 +248,199 @@ class RTree:
         return out
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, i, j, side, sid, root, n, point) sorted by (key, i, j): pairs of each cell's different components."""
-    held: list[pa.RecordBatch] = []
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by (leader, i, j) as tables of whole groups, with where each begins, and the end."""
 
-    def joined(rows: pa.Table) -> pa.RecordBatch | None:
-        if rows.num_rows < 2:
-            return None
-        side, sid, root, n = (rows.column(c).to_numpy() for c in ("side", "sid", "root", "n"))
-        points = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
-        left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
-        if not len(left) or not len(right):
-            return None
-        a = RTree(points[left], n[left])
-        b = a if side[0] == 0 else RTree(points[right], n[right])
-        out = []
-        for x, y in a.join(b):
-            x, y = left[x], right[y]
-            ok = (root[x] != root[y]) & ((sid[x] < sid[y]) if side[0] == 0 else True)
-            out.append(np.stack([np.minimum(sid[x], sid[y])[ok], np.maximum(sid[x], sid[y])[ok]]))
-        pairs = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"]) if pairs.shape[1] else None
-
-    def cells(table: pa.Table) -> tuple[list[tuple[int, int]], int]:
-        cell = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
-        starts = np.flatnonzero(np.concatenate([[True], (cell[:, 1:] != cell[:, :-1]).any(0)]))
-        return list(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)), int(starts[-1])
-
-    rest: pa.Table | None = None
+    def starts(table: pa.Table) -> np.ndarray:
+        of = np.stack([table.column(c).to_numpy() for c in ("leader", "i", "j")])
+        return np.flatnonzero(np.concatenate([[True], (of[:, 1:] != of[:, :-1]).any(0)]))
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        held = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-        done, at = cells(held)
-        small = np.array([stop - start <= LEAF and stop - start > 1 for start, stop in done], bool)
-        if small.any():
-            sizes = np.array([stop - start for start, stop in done])
-            if (out := _leaves(held.slice(0, at).filter(pa.array(np.repeat(small, sizes))), sizes[small])) is not None:
-                yield out
-        for (start, stop), one_leaf in zip(done, small, strict=True):
-            if not one_leaf and (out := joined(held.slice(start, stop - start))) is not None:
-                yield out
-        rest = held.slice(at)
-    if rest is not None and (out := joined(rest)) is not None:
-        yield out
-
-
-def _leaves(rows: pa.Table, sizes: np.ndarray) -> pa.RecordBatch | None:
-    """The same for many cells of one leaf each, all at once: places that are 1, 2, ... apart and in one cell."""
-    cell = np.repeat(np.arange(len(sizes)), sizes)
-    side, sid, root, n = (rows.column(c).to_numpy() for c in ("side", "sid", "root", "n"))
-    points = None
-    left, right = [], []
-    for apart in range(1, int(sizes.max())):
-        ok = cell[apart:] == cell[:-apart]
-        ok &= (root[apart:] != root[:-apart]) & (100 * np.minimum(n[apart:], n[:-apart]) >= PERCENT * np.maximum(n[apart:], n[:-apart]))
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        at = starts(table)
+        if at[-1]:
+            yield table.slice(0, int(at[-1])).combine_chunks(), at
+            held = table.slice(int(at[-1])).combine_chunks().to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, np.append(starts(table), table.num_rows)
+
+
+def _points(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
+
+
+def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows of each block pair those that have a partner in it by the R-trees' bounds, without their vectors."""
+    for table, at in _groups(batches):
+        sizes = np.diff(at)
+        good = np.zeros(table.num_rows, bool)
+        side, n = table.column("side").to_numpy(), table.column("n").to_numpy()
+        fine = table.column("fine").to_pylist()
+        small = np.repeat(sizes <= LEAF, sizes)
+        rows = np.flatnonzero(small)
+        if len(rows):
+            group = np.repeat(np.arange(len(sizes)), sizes)[rows]
+            x, y = _near(group, side[rows], n[rows], _points(table.filter(pa.array(small))))
+            x, y = rows[x], rows[y]
+            ok = _finely_allowed(fine, n, x, y)
+            good[x[ok]] = good[y[ok]] = True
+        for start, stop in zip(at[:-1], at[1:], strict=True):
+            if stop - start <= LEAF:
+                continue
+            points = _points(table.slice(int(start), int(stop - start)))
+            left, right = (np.flatnonzero(w) + start for w in (side[start:stop] <= 0, side[start:stop] >= 0))
+            a = RTree(points[left - start], n[left])
+            b = a if side[start] == 0 else RTree(points[right - start], n[right])
+            for x, y in a.join(b):
+                x, y = left[x], right[y]
+                apart = x != y
+                x, y = x[apart], y[apart]
+                ok = _finely_allowed(fine, n, x, y)
+                good[x[ok]] = good[y[ok]] = True
+        out = table.filter(pa.array(good)).drop_columns(["point", "fine"])
+        yield from out.to_batches()
+
+
+def _near(group: np.ndarray, side: np.ndarray, n: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that the bounds allow in groups of one leaf, all groups at once: places that are 1, 2, ... apart."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for apart in range(1, LEAF):
+        ok = group[apart:] == group[:-apart]
+        if not ok.any():
+            break
+        ok &= 100 * np.minimum(n[apart:], n[:-apart]) >= PERCENT * np.maximum(n[apart:], n[:-apart])
         ok &= (side[apart:] == 0) | (side[apart:] != side[:-apart])
         i = np.flatnonzero(ok)
-        if not len(i):
-            continue
-        if points is None:
-            points = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
-        for at in range(0, len(i), 8192):
-            x = i[at : at + 8192]
+        for k in range(0, len(i), 8192):
+            x = i[k : k + 8192]
             y = x + apart
             good = (np.minimum(points[x], points[y]).sum(1, dtype=np.int64) >= least_overlap(n[x], n[y])) | (points[x, 0] == 255) | (points[y, 0] == 255)
-            left.append(np.minimum(sid[x], sid[y])[good])
-            right.append(np.maximum(sid[x], sid[y])[good])
-    if not left:
-        return None
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+            left.append(x[good])
+            right.append(y[good])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each of some sorted sets has in common with each of some others."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    mine, theirs = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(mine, theirs)
+    if not len(both):
+        return out
+    ends = []
+    for values, sets in ((mine, left), (theirs, right)):
+        column = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        hit = both[column] == values
+        row, column = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[hit], column[hit]
+        order = np.argsort(column, kind="stable")
+        ends.append((row[order], column[order]))
+    (r, c), (s, d) = ends
+    width = max(64, MATRIX // (len(left) + len(right)))
+    for first in range(0, len(both), width):
+        some = min(width, len(both) - first)
+        x, y = np.zeros((len(left), some), np.float32), np.zeros((len(right), some), np.float32)
+        p, q = slice(*np.searchsorted(c, (first, first + some))), slice(*np.searchsorted(d, (first, first + some)))
+        x[r[p], c[p] - first] = 1
+        y[s[q], d[q] - first] = 1
+        out += (x @ y.T).astype(np.int64)
+    return out
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, null) for a spanning forest of each block pair's links, and (a, null, n): a has n links to rows there.
+
+    Pairs that share a lesser leader are counted in that one's place.
+    """
+    for table, at in _groups(batches):
+        ends: list[tuple[np.ndarray, np.ndarray]] = []
+        counts = np.zeros(table.num_rows, np.int64)
+        sid, n, copies, side, leader = (table.column(c).to_numpy() for c in ("sid", "n", "copies", "side", "leader"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set").combine_chunks()]
+        leaders = table.column("leaders").combine_chunks()
+        for start, stop in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            if stop - start > 1:
+                ends += _block(start, stop, sets, n, copies, side, leader[start], leaders, counts)
+        a = np.concatenate([x for x, _ in ends]) if ends else np.zeros(0, np.int64)
+        b = np.concatenate([y for _, y in ends]) if ends else np.zeros(0, np.int64)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([sid[a], sid[some]])), pa.concat_arrays([pa.array(sid[b]), pa.nulls(len(some), pa.int64())]), pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(counts[some])]),
+        ], ["a", "b", "n"])
+
+
+def _block(start: int, stop: int, sets: list[np.ndarray], n: np.ndarray, copies: np.ndarray, side: np.ndarray, leader: int, leaders: pa.Array, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links of one block pair, the rows from start to stop: adds to counts, and returns the ends of a spanning forest."""
+    own = side[start] == 0
+    left, right = (np.flatnonzero(w) + start for w in (side[start:stop] <= 0, side[start:stop] >= 0))
+    if not len(left) or not len(right):
+        return []
+    made = {k: np.frombuffer(_point(sets[k]), np.uint8) for k in range(start, stop)}
+    a = RTree(np.stack([made[k] for k in left]), n[left])
+    b = a if own else RTree(np.stack([made[k] for k in right]), n[right])
+    left, right = left[a.order], right[b.order]
+    lists = leaders.slice(start, stop - start)
+    each, row = lists.flatten().to_numpy(), np.repeat(np.arange(start, stop), pc.list_value_length(lists).to_numpy())
+    lesser = each < leader
+    each, row = each[lesser], row[lesser]
+    partners: dict[int, set[int]] = {}
+    for x, y in a.leaves(b):
+        partners.setdefault(x // LEAVES, set()).add(y)
+    label, out = np.arange(stop - start), []
+    for chunk, found in sorted(partners.items()):
+        x = np.arange(chunk * LEAVES * LEAF, min((chunk + 1) * LEAVES * LEAF, len(left)))
+        y = (np.array(sorted(found))[:, None] * LEAF + np.arange(LEAF)).ravel()
+        y = y[y < len(right)]
+        i, j = left[x], right[y]
+        common = intersections([sets[k] for k in i], [sets[k] for k in j])
+        linked = 100 * common >= PERCENT * (n[i][:, None] + n[j][None, :] - common)
+        if own:
+            linked &= x[:, None] < y[None, :]
+        if not linked.any():
+            continue
+        if len(each):
+            once = linked & ~_meet(each, row, i, j)
+        else:
+            once = linked
+        counts[i] += once @ copies[j]
+        counts[j] += once.T @ copies[i]
+        for k in np.flatnonzero(linked.any(1)):
+            to = j[linked[k]]
+            labels, first = np.unique(label[to - start], return_index=True)
+            new = labels != label[i[k] - start]
+            if new.any():
+                out.append((np.full(int(new.sum()), i[k]), to[first[new]]))
+                label[np.isin(label, labels[new])] = label[i[k] - start]
+    return out
+
+
+def _meet(each: np.ndarray, row: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i and j have one of the leaders (each, of row) in common."""
+    of = [np.flatnonzero(np.isin(row, x)) for x in (i, j)]
+    both = np.intersect1d(each[of[0]], each[of[1]])
+    out = np.zeros((len(i), len(j)), bool)
+    if not len(both):
+        return out
+    width = max(64, MATRIX // (len(i) + len(j)))
+    for first in range(0, len(both), width):
+        some, halves = both[first : first + width], []
+        for at, rows in zip(of, (i, j), strict=True):
+            order = np.argsort(rows)
+            column = np.minimum(np.searchsorted(some, each[at]), len(some) - 1)
+            hit = some[column] == each[at]
+            m = np.zeros((len(rows), len(some)), np.float32)
+            m[order[np.searchsorted(rows[order], row[at][hit])], column[hit]] = 1
+            halves.append(m)
+        out |= halves[0] @ halves[1].T > 0
+    return out
 
 
 class Join:
-    """The join's tables: entities (sid, rep, tag, n, point, fine), rows (doc_id, n, sid), and cells (key, sid, n, best)."""
+    """The join's tables: entities (sid, rep, tag, n, copies, point, fine), rows (doc_id, n, sid), and places (leader, sid)."""
 
     def __init__(self, docs: DataFrame, id_col: str, text: str):
         self.spark = docs.sparkSession
@@ -336,132 +450,81 @@ class Join:
         tagged = self.docs.select("doc_id", "text", _tag().alias("tag"))
         features = written(tagged.mapInArrow(_features(sc.broadcast(frequent)), "doc_id long, tag long, n long, sid long, keys array<long>, point binary, fine binary"), "jaccard-features")
         # Copies are reduced to one entity before anything is exchanged.
-        firsts = features.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("tag").alias("tag"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"), F.first("fine").alias("fine"))
+        firsts = features.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("tag").alias("tag"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"), F.first("point").alias("point"), F.first("fine").alias("fine"))
         full = written(firsts, "jaccard-full")
         self.rows = written(features.select("doc_id", "n", "sid"), "jaccard-rows")
-        self.entities = written(full.select("sid", "rep", "tag", "n", "point", "fine"), "jaccard-entities")
+        self.entities = written(full.select("sid", "rep", "tag", "n", "copies", "point", "fine"), "jaccard-entities")
         forget(features)
-        released(self.spark)
-        self.cells = self._cells(full.select("sid", "keys"))
+        self.places = self._places(full.select(F.explode("keys").alias("key"), "sid"))
         forget(full)
         released(self.spark)
 
-    def _cells(self, keys: DataFrame) -> DataFrame:
-        """(key, sid, n, size, best, best_n): large cells, with the entity of each that shares most; small ones stay in self.small."""
-        rows = keys.select(F.explode("keys").alias("key"), "sid")
-        counts = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "jaccard-keys")
-        shared = written(rows.join(counts, "key"), "jaccard-shared")
-        forget(counts)
-        degree = shared.groupBy("sid").agg(F.sum("size").alias("degree"), F.sum((F.col("size") > LEAF).cast("long")).alias("large"))
-        sized = shared.join(degree.join(self.entities.select("sid", "n"), "sid"), "sid")
-        sized = written(sized.select("key", "sid", "n", "size", "degree", "large"), "jaccard-sized")
-        forget(shared)
-        self.small = sized.filter(F.col("size") <= LEAF)
-        large = sized.filter(F.col("size") > LEAF)
-        best = written(large.groupBy("key").agg(F.max(F.struct("degree", "sid", "n")).alias("best")), "jaccard-best")
-        out = written(large.join(best, "key").select("key", "sid", "n", "size", F.col("best.sid").alias("best"), F.col("best.n").alias("best_n")), "jaccard-cells")
-        forget(best)
-        return out
+    def _places(self, rows: DataFrame) -> DataFrame:
+        """(leader, sid): what entities meet in, from the cells (key, sid) that hold more than one."""
+        first = F.min(F.struct(F.xxhash64("sid").alias("h"), F.col("sid").alias("leader")))
+        cells = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), first.alias("first")).filter("size > 1")
+        return written(rows.join(cells.select("key", "first.leader"), "key").select("leader", "sid").distinct(), "jaccard-places")
 
-    def leaf_pairs(self) -> DataFrame:
-        """Pairs (a, b, n, m) that cells of one leaf allow, by how many of such cells they share.
+    def block_pairs(self) -> DataFrame:
+        """(leader, i, j, side, sid, n, copies, leaders): each place's rows in pairs of its blocks, i <= j.
 
-        What two sets share of their first shingles, up to where the first of them ends, and all that comes after in
-        that set bound their overlap; shingles in large cells count as shared.
+        An entity's leaders are no more than its first shingles. Rows are copied once for each block of their place.
         """
-        x = self.small.select("key", F.col("sid").alias("a"), F.col("n"), F.col("large").alias("x"))
-        y = self.small.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("large").alias("y"))
-        fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT
-        met = x.join(y, "key").filter((F.col("a") < F.col("b")) & fits).groupBy("a", "b", "n", "m", "x", "y").agg(F.count(F.lit(1)).alias("shared"))
-        rest = F.greatest(*(F.floor((F.col(c) * PERCENT + 99) / 100) - 1 for c in ("n", "m")))
-        need = F.floor(((F.col("n") + F.col("m")) * PERCENT + 99 + PERCENT) / (100 + PERCENT))
-        return met.filter(F.col("shared") + F.least("x", "y") + rest >= need).select("a", "b", "n", "m")
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Those of pairs (a, b) whose whole sets are similar. Only the sets of pairs are made, from their texts again."""
-        pairs = written(pairs, "jaccard-pairs")
-        inside = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct().join(self.entities.select("sid", "tag"), "sid")
-        words = inside.select(_bit(F.col("tag")).alias("bit")).groupBy(F.shiftright("bit", 5).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits"))
+        n = self.places.join(self.entities.select("sid", "n", "copies"), "sid")
+        leaders = n.groupBy("sid", "n", "copies").agg(F.sort_array(F.collect_set("leader")).alias("leaders"))
+        rows = written(leaders.select("sid", "n", "copies", "leaders", F.explode("leaders").alias("leader")), "jaccard-met")
+        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
+        large = rows.groupBy("leader").agg(blocks.alias("blocks"))
+        own = rows.join(large, "leader").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+        other = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        side = F.when(F.col("own") == F.col("o"), 0).when(F.col("own") < F.col("o"), -1).otherwise(1)
+        return other.select("leader", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), side.alias("side"), "sid", "n", "copies", "leaders")
+
+    def _sets_of(self, sids: DataFrame) -> DataFrame:
+        """(sid, set) of the entities in sids, made from their texts again."""
+        tags = sids.join(self.entities.select("sid", "tag"), "sid").select(_bit(F.col("tag")).alias("bit"))
+        words = tags.groupBy(F.shiftright("bit", 5).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits"))
         table, got = np.zeros(FILTER_BITS // 32, np.uint32), words.toArrow()
         table[got.column("w").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
         source = self.docs.select("doc_id", _bit(_tag()).alias("bit"), "text")
-        sets = written(source.mapInArrow(_sets(self.spark.sparkContext.broadcast(table.tobytes())), "sid long, set binary").dropDuplicates(["sid"]), "jaccard-sets")
-        left, right = sets.select(F.col("sid").alias("a"), F.col("set").alias("s")), sets.select(F.col("sid").alias("b"), F.col("set").alias("t"))
-        out = written(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(_overlaps, "a long, b long"), "jaccard-links")
+        made = source.mapInArrow(_sets(self.spark.sparkContext.broadcast(table.tobytes())), "sid long, set binary")
+        return written(made.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-sets")
+
+    def links(self) -> DataFrame:
+        """(a, b, null): links that connect all components, and (a, null, n): what has to be summed to each entity's number."""
+        order = ["leader", "i", "j"]
+        pairs = self.block_pairs().join(self.entities.select("sid", "point", "fine"), "sid").repartition(*order).sortWithinPartitions(*order)
+        hopeful = "leader long, i int, j int, side int, n long, copies long, sid long, leaders array<long>"
+        names = [x.split()[0] for x in hopeful.split(", ")]
+        left = written(pairs.select(*names, "point", "fine").mapInArrow(_hopeful, hopeful), "jaccard-hopeful")
+        sets = self._sets_of(left.select("sid").distinct())
+        whole = left.join(sets, "sid").select(*names, "set").repartition(*order).sortWithinPartitions(*order)
+        out = written(whole.mapInArrow(_verified, "a long, b long, n long"), "jaccard-links")
+        forget(left)
         forget(sets)
-        forget(pairs)
         released(self.spark)
         return out
 
-    def star_pairs(self) -> DataFrame:
-        """Pairs (a, b, n, m) of an entity of a large cell and the one of it that shares most."""
-        fits = F.least("n", "best_n") * 100 >= F.greatest("n", "best_n") * PERCENT
-        star = self.cells.filter(fits & (F.col("sid") != F.col("best")))
-        return star.select(F.col("best").alias("a"), F.col("sid").alias("b"), F.col("best_n").alias("n"), F.col("n").alias("m")).distinct()
-
-    def bounded(self, pairs: DataFrame) -> DataFrame:
-        """Those of pairs (a, b, ...) whose finest vectors' summed minima allow a link."""
-        vector = self.entities.select("sid", "n", F.coalesce("fine", "point").alias("v"))
-        full = pairs.select("a", "b").join(vector.withColumnsRenamed({"sid": "a", "v": "p"}), "a").join(vector.withColumnsRenamed({"sid": "b", "n": "m", "v": "q"}), "b")
-        return full.select("a", "b", "n", "m", "p", "q").mapInArrow(_bounded, "a long, b long")
-
-    def tree_pairs(self, roots: DataFrame | None) -> DataFrame:
-        """Pairs of different components (roots: node, root) in cells that hold several, from the R-trees of each cell; without roots, all pairs."""
-        if roots is None:
-            cells = self.cells.select("key", "sid", "n", F.col("sid").alias("root"))
-        else:
-            cells = self.cells.join(roots, self.cells["sid"] == roots["node"], "left").select("key", "sid", "n", F.coalesce("root", "sid").alias("root"))
-            cells = written(cells, "jaccard-rooted")
-        mixed = cells.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo < hi")
-        left = cells.join(written(mixed.select("key", "size"), "jaccard-mixed"), "key")
-        # A cell with only one size class, and so no pair within the ratio, ends in the tree; large ones go in pairs of blocks.
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        own = left.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-        other = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        side = F.when(F.col("own") == F.col("o"), 0).when(F.col("own") < F.col("o"), -1).otherwise(1)
-        placed = other.select("key", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), side.alias("side"), "sid", "root", "n")
-        placed = placed.join(self.entities.select("sid", "point"), "sid").select("key", "i", "j", "side", "sid", "root", "n", "point")
-        return placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cells, "a long, b long").distinct()
-
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """Links that connect all components, and (node, root) of the entities that have any."""
-        first = self.verified(self.bounded(self.leaf_pairs().unionByName(self.star_pairs())))
-        roots = written(components(first), "jaccard-roots")
-        second = self.verified(self.bounded(self.tree_pairs(roots)))
-        if second.isEmpty():
-            return first, roots
-        both = first.unionByName(second)
-        return both, written(components(both), "jaccard-roots")
-
-    def all_links(self) -> DataFrame:
-        """Every linked pair of entities (a, b), once."""
-        return self.verified(self.bounded(self.leaf_pairs().select("a", "b").unionByName(self.tree_pairs(None)).distinct()))
-
-    def counted(self) -> DataFrame:
+    def members(self) -> DataFrame:
         """(doc_id, n_shingles, component_id, n_links) of every row."""
-        links = self.all_links()
-        copies = written(self.rows.filter("sid is not null").groupBy("sid").agg(F.count(F.lit(1)).alias("copies")), "jaccard-copies")
-        ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        others = ends.join(copies, ends["b"] == copies["sid"]).groupBy("a").agg(F.sum("copies").alias("others"))
-        n = copies.join(others, copies["sid"] == others["a"], "left").select(F.col("sid").alias("s"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-        rows = self.members(written(components(links), "jaccard-roots"), "sid")
-        return rows.join(n, rows["sid"] == n["s"], "left").select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-
-    def members(self, roots: DataFrame | None = None, *more: str) -> DataFrame:
-        """(doc_id, n_shingles, component_id) of every row, and more of its columns; roots are those of links() if not given."""
-        roots = self.links()[1] if roots is None else roots
-        entity = self.entities.select("sid", "rep")
-        rooted = entity.join(roots, entity["sid"] == roots["node"], "left").select("sid", "rep", F.coalesce("root", "sid").alias("root"))
+        links = self.links()
+        roots = written(components(links.filter("b is not null").select("a", "b")), "jaccard-roots")
+        others = links.filter("b is null").groupBy("a").agg(F.sum("n").alias("others"))
+        entity = self.entities.select("sid", "rep", "copies")
+        rooted = entity.join(roots, entity["sid"] == roots["node"], "left").select("sid", "rep", "copies", F.coalesce("root", "sid").alias("root"))
         least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-        table = written(rooted.join(least, "root").select(F.col("sid").alias("s"), "component_id"), "jaccard-table")
+        n = F.col("copies") - 1 + F.coalesce("others", F.lit(0))
+        table = rooted.join(least, "root").join(others, F.col("sid") == others["a"], "left")
+        table = written(table.select(F.col("sid").alias("s"), "component_id", n.cast("long").alias("n_links")), "jaccard-table")
         rows = self.rows.select("doc_id", F.col("n").alias("n_shingles"), "sid")
         out = rows.join(table, rows["sid"] == table["s"], "left")
-        return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *more)
+        return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of every row of docs."""
     return Join(docs, id_col, text).members()
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Join(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text").counted()
+    return similar(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -312,7 +312,7 @@ def test_rtree_finds_all_pairs():
         for _ in range(10):
             s = base.copy()
             s[: rng.integers(0, len(s) // 4 + 1)] = rng.integers(0, 1 << 63)
-            sets.append(m.distinct(s))
+            sets.append(np.unique(s))
     points = np.stack([np.frombuffer(m._point(s), np.uint8) for s in sets])
     tree = m.RTree(points, np.array([len(s) for s in sets]))
     found = {(int(a), int(b)) for x, y in tree.join(tree) for a, b in zip(x, y, strict=True)}
@@ -325,7 +325,6 @@ def test_rtree_finds_all_pairs():
 
 def test_fine_vectors_bound_long_sets():
     import numpy as np
-    import pyarrow as pa
 
     from plumbline.llm import op09_jaccard as m
 
@@ -334,15 +333,47 @@ def test_fine_vectors_bound_long_sets():
     shorter, other = base[:7_500], np.unique(rng.integers(0, 1 << 63, 9_000, dtype=np.uint64))
     near = np.unique(np.concatenate([base[:8_200], rng.integers(0, 1 << 63, 300, dtype=np.uint64)]))
     sets = [base, near, shorter, other, base[:2_000]]
-    vectors = [m._fine(x) or m._point(x) for x in sets]
-    assert len(vectors[0]) == 2_048 and len(vectors[2]) == 1_024 and len(vectors[4]) == m.GROUPS
-    full = b"\xff" * m.GROUPS
-    pairs = [(0, 1), (0, 2), (0, 3), (2, 3), (1, 2)]
-    rows = [(i, j, len(sets[i]), len(sets[j]), vectors[i], vectors[j]) for i, j in pairs] + [(0, 4, 9_000, 7_300, vectors[0], full)]
-    types = [pa.int64()] * 4 + [pa.binary()] * 2
-    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], list("abnmpq"))
-    got = {(r["a"], r["b"]) for out in m._bounded(iter([batch])) for r in out.to_pylist()}
-    assert got == {(0, 1), (0, 2), (1, 2), (0, 4)}
+    vectors = [m._fine(x) for x in sets]
+    assert (len(vectors[0]), len(vectors[2]), vectors[4]) == (2_048, 1_024, None)
+    vectors.append(b"\xff" * 1_024)
+    x, y = np.array([(0, 1), (0, 2), (0, 3), (2, 3), (1, 2), (0, 4), (0, 5)]).T
+    n = np.array([len(s) for s in sets] + [7_500])
+    assert m._finely_allowed(vectors, n, x, y).tolist() == [True, True, False, False, True, True, True]
+
+
+def test_intersections_and_forest_of_a_block(monkeypatch):
+    """All pairs of one large place, in blocks and narrow matrices: counts, and components of the forest, by brute force."""
+    import numpy as np
+
+    from plumbline.llm import op09_jaccard as m
+
+    monkeypatch.setattr(m, "MATRIX", 1 << 10)
+    rng = np.random.default_rng(5)
+    bases = [rng.integers(0, 1 << 63, 60, dtype=np.uint64) for _ in range(3)]
+    sets = []
+    for i in range(700):
+        s = bases[i % 3].copy()
+        s[rng.choice(60, rng.integers(0, 9), replace=False)] = rng.integers(0, 1 << 63, 1, dtype=np.uint64)
+        sets.append(np.unique(s))
+    common = m.intersections(sets[:50], sets[:40])
+    assert all(common[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(50) for j in range(40))
+    n = np.array([len(s) for s in sets])
+    linked = np.array([[i != j and 100 * (c := len(np.intersect1d(s, t, assume_unique=True))) >= 80 * (len(s) + len(t) - c) for j, t in enumerate(sets)] for i, s in enumerate(sets)])
+    copies, counts = rng.integers(1, 4, 700), np.zeros(700, np.int64)
+    # Rows 0, 10, ... share a lesser leader, so that their pairs are counted in another place.
+    leaders = pa.array([[3, 7] if i % 10 == 0 else [7] for i in range(700)], pa.list_(pa.int64()))
+    forest = m._block(0, 700, sets, n, copies, np.zeros(700, int), 7, leaders, counts)
+    tens = np.arange(700) % 10 == 0
+    assert (counts == (linked & ~(tens[:, None] & tens[None, :])) @ copies).all()
+    a, b = np.concatenate([x for x, _ in forest]), np.concatenate([y for _, y in forest])
+    assert linked[a, b].all() and len(a) < 700
+    label = np.arange(700)
+    for x, y in zip(a, b, strict=True):
+        label[label == label[x]] = label[y]
+    reach = linked | np.eye(700, dtype=bool)
+    for _ in range(10):
+        reach = (reach.astype(np.float32) @ reach.astype(np.float32)) > 0
+    assert (reach == (label[:, None] == label[None, :])).all()
 
 
 def test_quality(spark, sf, texts):
