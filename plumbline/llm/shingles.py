@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 WORDS = 5
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -37,11 +36,18 @@ def distinct(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(flat: pa.Array) -> np.ndarray:
+    """64-bit hashes of strings: sums of a hash of each byte with its place, and the length, spread once more."""
     if not len(flat):
         return np.zeros(0, np.uint64)
     coded = flat.dictionary_encode()
-    each = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return each[coded.indices.to_numpy(zero_copy_only=False)]
+    each = pa.concat_arrays([coded.dictionary.cast(pa.large_string())])
+    ends = np.frombuffer(each.buffers()[1], np.int64)[each.offset : each.offset + len(each) + 1]
+    data = np.frombuffer(each.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    place = np.arange(len(data)) - np.repeat(ends[:-1], np.diff(ends))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed((place.astype(np.uint64) << np.uint64(8)) + data + _P), dtype=np.uint64)])
+    h = mixed((sums[ends[1:]] - sums[ends[:-1]]) ^ (np.diff(ends).astype(np.uint64) * _P))
+    return h[coded.indices.to_numpy(zero_copy_only=False)]
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:

@@ -136,36 +136,116 @@ def test_sharding(spark, sf, texts):
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 8
 
 
-def test_lm(spark, sf, texts):
-    from plumbline.llm.op04_lm import Model, op4_lm  # noqa: F401
+def lm_tokens(text):
+    return [*words(lower(text)), None]
+
+
+class PlainScorer:
+    """The model's log probabilities, token by token and bit by bit, in plain Python."""
+
+    def __init__(self, model):
+        from plumbline.llm import op04_lm as m
+        from plumbline.llm.shingles import word_hashes
+
+        self.m, self.model, self.book = m, model, model.book
+        self.of = lambda w: int(word_hashes(pa.array([w]))[0])
+        self.leaf = {int(h): i for i, h in enumerate(model.book.hashes)}
+
+    def bit(self, mixer, slots, one):
+        v = [int(self.model.table[s]) for s in slots]
+        gate = (v[-2] & 3) * 4 + (v[-1] & 3)
+        dot = sum(float(mixer.weights[k, gate]) * (x >> 2) for k, x in enumerate(v)) / 256
+        x = min(11.99, max(-11.99, dot)) * 2 + self.m.BUCKETS // 2
+        low = int(x)
+        p = float(mixer.map_[gate, low]) * (1 - x + low) + float(mixer.map_[gate, low + 1]) * (x - low)
+        return math.log(p if one else 1 - p)
+
+    def spelled(self, data):
+        """data: bytes with the space at the end."""
+        from plumbline.llm.shingles import mixed
+
+        np, m, total, prefix, gold = self.m.np, self.m, 0.0, 0, 0x9E3779B97F4A7C15
+        mix = lambda x: int(mixed(np.array([x & (1 << 64) - 1], np.uint64))[0])
+        for i, byte in enumerate(data):
+            contexts = []
+            for back in range(1, 5):
+                before = sum(data[i - k] << 8 * (k - 1) for k in range(1, back + 1) if i >= k)
+                contexts.append(mix(before + (back << 40)) >> 32)
+            contexts.append(prefix >> 32)
+            for bit in range(8):
+                node = ((byte | 256) >> (8 - bit)) * 0x9E3779B1 & 0xFFFFFFFF
+                slots = [(((c ^ node) * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - b)) + int(at) + m.WORD_SLOTS for c, b, at in zip(contexts, m.BYTE_BITS, m._BYTE_AT, strict=False)]
+                total += self.bit(self.model.bytes, slots, byte >> (7 - bit) & 1)
+            prefix = mix(prefix * gold + byte + 1)
+        return total
+
+    def path(self, leaf, klass, last, both):
+        book, total, node, root = self.book, 0.0, leaf, len(self.book.parent) - 1
+        while node != root:
+            side, node = int(book.side[node]), int(book.parent[node])
+            inner = node - len(book.hashes) - 2
+            spread = inner * 0x9E3779B1 & 0xFFFFFFFF
+            slots = [klass * (self.m.CODED + 2) + inner] + [(((c ^ spread) * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - b)) + int(at) for c, b, at in zip((last, both), self.m.WORD_BITS, self.m._WORD_AT, strict=False)]
+            total += self.bit(self.model.words, slots, side)
+        return total
+
+    def state(self, before):
+        """(class, last, both) after some tokens."""
+        book, klass = self.book, 0
+        if book.evidence.shape[1]:
+            told = book.prior + sum((book.evidence[self.leaf.get(self.of(w), book.escape)].astype(float) for w in before), 0.0 * book.prior)
+            klass = int(told.argmax()) + 1
+        short = [self.of(w) >> 32 for w in before[-2:]]
+        last, two = short[-1] if short else 0, short[-2] if len(short) > 1 else 0
+        return klass, last, (last * 0xC2B2AE35 & 0xFFFFFFFF) ^ ((two * 0x27D4EB2F & 0xFFFFFFFF) >> 3) ^ 0x5BD1E995
+
+    def token(self, before, word):
+        book = self.book
+        leaf = book.end if word is None else self.leaf.get(self.of(word), book.escape)
+        p = math.exp(self.path(leaf, *self.state(before)) + (self.spelled(word.encode() + b" ") if leaf == book.escape else 0))
+        n = len(before)
+        share = float(self.model.share[min(self.m.AGES - 1, int(math.log2(2 * n)))]) if n else 0.0
+        return math.log((1 - share) * p + (share * before.count(word) / n if n and word is not None else 0))
+
+
+def test_lm(spark, sf, texts, monkeypatch):
+    """Counts and base scores by brute force; scores by the plain scorer; held-out texts do better than by the base."""
+    from plumbline.llm import op04_lm as m
 
-    got = {r["doc_id"]: r for r in op4_lm(spark, sf).collect()}
-    tokens = {i: [*words(lower(t)), " end"] for i, t in enumerate(texts)}
+    models, learn = [], m.learn
+    monkeypatch.setattr(m, "learn", lambda *a: models.append(learn(*a)) or models[-1])
+    got = {r["doc_id"]: r for r in m.op4_lm(spark, sf).collect()}
+    tokens = {i: lm_tokens(t) for i, t in enumerate(texts)}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
     c = collections.Counter(w for i, t in tokens.items() if not held[i] for w in t)
     n, v = sum(c.values()), len(c)
+    plain, compared = PlainScorer(models[0][3]), 0
     for i, t in tokens.items():
         r = got[i]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(t), sum(c[w] > 0 for w in t), n)
         assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9)
-        assert r["score"] < 0
-
-
-def test_lm_probabilities_sum_to_one():
-    """All bytes that may follow, and those that may follow these, have the whole probability of what comes before."""
-    import numpy as np
-
+        if len(t) < 150:
+            expected = sum(plain.token(t[:k], w) for k, w in enumerate(t)) / math.log(10)
+            assert math.isclose(r["score"], expected, rel_tol=1e-3), i
+            size = len((texts[i] or "").encode())
+            assert r["bits_per_byte"] is None if not size else math.isclose(r["bits_per_byte"], -r["score"] * math.log2(10) / size)
+            compared += 1
+    assert compared > 40 and {held[i] for i in tokens} == {True, False}
+    assert sum(got[i]["score"] for i in tokens if held[i]) > sum(got[i]["base_score"] for i in tokens if held[i])
+
+
+def test_lm_probabilities_sum_to_one(spark, sf):
+    """After any words: all coded words, the end and the escape; after the escape: all bytes that may follow some others."""
     from plumbline.llm import op04_lm as m
 
-    counts = {"aa": 5, "ab": 3, m.END: 2}
-    batch = pa.RecordBatch.from_pydict({"word": list(counts), "c": pa.array(list(counts.values())), "by": pa.array([[], [], []], pa.list_(pa.struct([("class", pa.int32()), ("n", pa.int64())])))})
-    zeros, ones = np.zeros(m.SLOTS, np.float16), np.zeros(m.SLOTS, np.float16)
-    for b in m._count_bits(0)([batch]):
-        at = slice(b["block"][0].as_py() * m.BLOCK, (b["block"][0].as_py() + 1) * m.BLOCK)
-        zeros[at], ones[at] = np.frombuffer(b["zeros"][0].as_py(), np.uint32), np.frombuffer(b["ones"][0].as_py(), np.uint32)
-    model = m.fit(zeros, ones, list(counts), np.full(3, -1), np.full(3, True), np.array([5.0, 3.0, 2.0]))
-    p = 10 ** model.word_scores(["aa", "ab", m.END])
-    assert p.sum() < 1 and p[0] > p[1]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.coalesce("text", F.lit("")).alias("text"), F.lit(0).alias("class"))
+    plain = PlainScorer(m.learn(docs, [docs.count()])[3])
+    book = plain.book
+    for before in ([], ["the"], ["zzz", "of"], ["of", "the", "of"]):
+        state = plain.state(before)
+        assert len(book.hashes) > 100 and math.isclose(sum(math.exp(plain.path(leaf, *state)) for leaf in range(len(book.hashes) + 2)), 1, rel_tol=1e-6)
+    for start in (b"", b"ab", "É".encode()):
+        assert math.isclose(sum(math.exp(plain.spelled(start + bytes([k])) - plain.spelled(start)) for k in range(256)), 1, rel_tol=1e-6)
 
 
 def test_mixing(spark, sf, texts):
