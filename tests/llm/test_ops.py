@@ -168,7 +168,7 @@ class PlainScorer:
         mix = lambda x: int(mixed(np.array([x & (1 << 64) - 1], np.uint64))[0])
         for i, byte in enumerate(data):
             contexts = []
-            for back in range(1, 5):
+            for back in range(2, 5):
                 before = sum(data[i - k] << 8 * (k - 1) for k in range(1, back + 1) if i >= k)
                 contexts.append(mix(before + (back << 40)) >> 32)
             contexts.append(prefix >> 32)
@@ -192,8 +192,8 @@ class PlainScorer:
     def state(self, before):
         """(class, last, both) after some tokens."""
         book, klass = self.book, 0
-        if book.evidence.shape[1]:
-            told = book.prior + sum((book.evidence[self.leaf.get(self.of(w), book.escape)].astype(float) for w in before), 0.0 * book.prior)
+        if len(book.evidence):
+            told = book.prior + sum((book.evidence[:, self.leaf.get(self.of(w), book.escape)].astype(float) for w in before), 0.0 * book.prior)
             klass = int(told.argmax()) + 1
         short = [self.of(w) >> 32 for w in before[-2:]]
         last, two = short[-1] if short else 0, short[-2] if len(short) > 1 else 0
