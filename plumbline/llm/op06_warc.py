@@ -7,8 +7,9 @@ in it, reads the index, and then reads records, each from its own range of bytes
 
 Records with equal payloads: that of the smallest id is a response, the others are revisits that refer to it.
 
-Defined results: a null payload is empty; payloads shorter than the bound are all responses; repeated ids with equal
-payloads are revisits but for one; an empty table gives an empty result; archives are written under an attempt's own
+Defined results: a null payload is empty; payloads shorter than the bound are all responses; of rows that share the
+smallest id of an equal payload one is the response, and the others are revisits that refer to that id; a null id is
+greater than any other, and a revisit of a record without an id refers to null; an empty table gives an empty result; archives are written under an attempt's own
 name and then renamed, so that a task that runs again leaves one archive.
 """
 
@@ -26,7 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import new_path, text_or_empty, written
 
-SALTS = 32
+#: Parts that the rows of one payload are dealt to.
+SALTS = 4_096
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Bytes of payload that a reading task holds at a time; the end of a file that is read first.
 READ_BYTES, TAIL = 8 << 20, 1 << 16
@@ -142,17 +144,24 @@ def _zip64(extra: bytes, full: int, packed: int, start: int) -> tuple[int, int,
     return full, packed, start
 
 
-def warc_record(page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def warc_record(page_id: int | None, url: str, payload: bytes, digest: str, kind: str, refers_to: int | None) -> bytes:
     """One record, compressed; a revisit has no payload but the digest and the id that it refers to."""
-    kind = "response" if refers_to is None else "revisit"
-    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (payload if refers_to is None else b"")
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:plumbline:page:{page_id}>", f"WARC-Target-URI: {' '.join(url.split())}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Bytes: {len(payload)}"]
-    if refers_to is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:plumbline:page:{refers_to}>"]
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (payload if kind == "response" else b"")
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:plumbline:page:{_named(page_id)}>", f"WARC-Target-URI: {' '.join(url.split())}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Bytes: {len(payload)}"]
+    if kind == "revisit":
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:plumbline:page:{_named(refers_to)}>"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n", 1, mtime=0)
 
 
+def _named(page_id: int | None) -> str:
+    return "-" if page_id is None else str(page_id)
+
+
+def _numbered(name: str) -> int | None:
+    return None if name == "-" else int(name)
+
+
 def read_record(packed: bytes) -> tuple[dict[str, str], bytes]:
     """A record's headers and its payload (what follows the HTTP header)."""
     data = gzip.decompress(packed)
@@ -166,7 +175,7 @@ def sha1_base32(data: bytes) -> str:
 
 
 def assign_types(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """pages (page_id, url, payload: string) with refers_to: the smallest id of an equal payload, null for that record itself.
+    """pages (page_id, url, payload: string) with first, the smallest id of an equal payload, and long, whether it counts.
 
     Equal payloads may be a third of all rows: ids are reduced within SALTS parts of a digest first, and each part is
     then joined with its own result.
@@ -176,12 +185,14 @@ def assign_types(pages: DataFrame, least_bytes: int) -> DataFrame:
     firsts = parts.groupBy("_d").agg(F.min("first").alias("first"))
     table = parts.select("_d", "_salt").join(firsts, "_d")
     out = keyed.join(table, ["_d", "_salt"])
-    is_revisit = (F.octet_length("payload") >= least_bytes) & (F.col("first") != F.col("page_id"))
-    return out.select("page_id", "url", "payload", F.when(is_revisit, F.col("first")).alias("refers_to"))
+    return out.select("page_id", "url", "payload", "first", (F.octet_length("payload") >= least_bytes).alias("long"))
 
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
-    """Writes records (page_id, url, payload, refers_to), an archive for each partition; a table of (uri, n_bytes, n_records)."""
+    """Writes records (page_id, url, payload, first, long), an archive for each partition; a table of (uri, n_bytes, n_records).
+
+    Rows of one payload and id are in one partition, so that the writer sees which of them is the first.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -191,16 +202,20 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         name = f"part-{task.partitionId():06d}.wacz"
         own = f"{at}/.{name}.{task.taskAttemptId()}"
         system.create_dir(at, recursive=True)
-        index, place = [], 0
+        index, place, responses = [], 0, set()
 
         def packed() -> Iterator[bytes]:
             nonlocal place
             for batch in batches:
                 for i in range(batch.num_rows):
-                    page_id, url, payload, refers_to = (c[i].as_py() for c in batch.columns)
+                    page_id, url, payload, first, long = (c[i].as_py() for c in batch.columns)
                     payload = payload.encode()
-                    record = warc_record(page_id, url or "", payload, sha1_base32(payload), refers_to)
-                    index.append(f"{page_id} {place} {len(record)}\n")
+                    digest = sha1_base32(payload)
+                    revisit = long and (page_id != first or digest in responses)
+                    if long and not revisit:
+                        responses.add(digest)
+                    record = warc_record(page_id, url or "", payload, digest, "revisit" if revisit else "response", first)
+                    index.append(f"{_named(page_id)} {place} {len(record)}\n")
                     place += len(record)
                     yield record
 
@@ -216,7 +231,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         else:
             system.delete_file(own)
 
-    return written(records.select("page_id", "url", "payload", "refers_to").mapInArrow(write, "uri string, n_bytes long, n_records long"), "warc-manifest")
+    return written(records.select("page_id", "url", "payload", "first", "long").mapInArrow(write, "uri string, n_bytes long, n_records long"), "warc-manifest")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -243,9 +258,10 @@ def _records(archive: ZipReader) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     for line in archive.read(at, size).decode().splitlines():
-        page_id, place, length = map(int, line.split())
+        name, place, length = line.split()
+        page_id, place, length = _numbered(name), int(place), int(length)
         head, payload = read_record(archive.read(base + place, length))
-        own = lambda name, h=head: int(h[name].rpartition(":")[2].rstrip(">"))
+        own = lambda name, h=head: _numbered(h[name].rpartition(":")[2].rstrip(">"))
         if own("WARC-Record-ID") != page_id:
             raise ValueError(f"index and record differ: {page_id}")
         revisit = head["WARC-Type"] == "revisit"
