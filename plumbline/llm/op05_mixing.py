@@ -6,9 +6,10 @@ until one of them has a probability of 0 or 1; the other goes on. The words take
 should be, but for one document. Pairs are made within bins of about BIN documents; what is left of each bin is
 combined in the next level's bins, up to one bin a source.
 
-Defined results: a null text has no words and is taken 0 words; rows that agree in id, source and size are decided
-together; a null source is a source, last in order; choices depend on ids, sizes and the seed only, so reruns agree; an
-empty table gives an empty result; columns of the input are kept.
+Defined results: a null text has no words and is taken 0 words; of n rows that are equal in all columns, the whole part
+of n times the probability get one more copy, and the rest is rounded as one document's (so repeated rows and null ids
+are no larger unit than any other); a null source is a source, last in order; choices depend on the rows' contents and
+the seed only, so reruns agree; an empty table gives an empty result; columns of the input are kept.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from .common import n_words, text_or_empty, uniform, written
 #: Documents in a bin, on average. An average bin of the last level is smaller.
 BIN = 32
 WEIGHTS = (3.0, 1.0, 2.0)
+#: Copies of one row that a task makes at a time.
+COPIES = 4_096
+_KEY = "struct<id:bigint,h:bigint,k:bigint,size:bigint,source:string,n:bigint,more:bigint>"
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...], share: float, most: float) -> dict[str | None, float]:
@@ -40,9 +44,9 @@ def targets(sizes: dict[str | None, int], weights: tuple[float, ...], share: flo
 
 
 def _pivot(units: Column) -> Column:
-    """Folds an array of units (id, size, p, u) to (carried unit, decided array of (id, x))."""
-    unit_t = "struct<mass:double,key:struct<id:bigint,size:bigint,source:string,n:bigint>,p:double,u:double>"
-    done_t = "array<struct<key:struct<id:bigint,size:bigint,source:string,n:bigint>,x:int>>"
+    """Folds an array of units (mass, key, p, u) to (carried unit, decided array of (key, x))."""
+    unit_t = f"struct<mass:double,key:{_KEY},p:double,u:double>"
+    done_t = f"array<struct<key:{_KEY},x:int>>"
     none = F.lit(None).cast(unit_t)
     start = F.struct(none.alias("carry"), F.array().cast(done_t).alias("done"))
 
@@ -74,8 +78,8 @@ def round_pivotal(units: DataFrame, per_source: int, seed: int) -> DataFrame:
     level, decided, left = 0, [], units
     while True:
         bins = F.greatest(F.lit(1), F.ceil(F.col("_n") / BIN)).cast("long")
-        bin_of = F.pmod(F.xxhash64("key.id", "key.size", F.lit(seed), F.lit(level)), bins)
-        u = uniform(F.col("key.id"), F.col("key.size"), F.lit(seed + 1), F.lit(level))
+        bin_of = F.pmod(F.xxhash64("key.h", "key.k", F.lit(seed), F.lit(level)), bins)
+        u = uniform(F.col("key.h"), F.col("key.k"), F.lit(seed + 1), F.lit(level))
         member = F.struct("mass", "key", "p", u.alias("u"))
         folded = left.groupBy("key.source", bin_of.alias("bin"), bins.alias("_n")).agg(F.sort_array(F.collect_list(member), asc=False).alias("units"))
         folded = written(folded.select("_n", _pivot(F.col("units")).alias("f")), f"pivot-{level}")
@@ -84,49 +88,71 @@ def round_pivotal(units: DataFrame, per_source: int, seed: int) -> DataFrame:
         per_source, level = -(-per_source // BIN), level + 1
         if per_source <= 1:
             break
-    last = left.select("key", (uniform(F.col("key.id"), F.col("key.size"), F.lit(seed + 2)) < F.col("p")).cast("int").alias("x"))
+    last = left.select("key", (uniform(F.col("key.h"), F.col("key.k"), F.lit(seed + 2)) < F.col("p")).cast("int").alias("x"))
     for d in decided:
         last = last.unionByName(d)
     return last
 
 
-def copies(df: DataFrame, id_col: str, source_col: str, size: Column, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 17) -> DataFrame:
-    """One row for each (id, source, size) of df: n (rows), copies, source_size and target (the source's).
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of all of a row's columns, nulls told apart; equal rows have equal ones."""
+    cells = [x for c in df.columns for x in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(F.lit(k), *cells) for k in (1, 2)]
+
+
+def copies(df: DataFrame, source_col: str, size: Column, id_col: str | None = None, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 17) -> DataFrame:
+    """One row for each different row of df, by its hashes h and k: id, source, size, n (rows), whole (copies of each row),
+    more (how many of the n get one more), source_size and target (the source's).
 
     One row a source comes to the driver; sources are the mix's own parameters.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"))
-    units = written(rows.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-units")
+    h, k = row_hashes(df)
+    of_id = F.col(id_col).cast("long") if id_col else F.lit(None).cast("long")
+    rows = df.select(of_id.alias("id"), h.alias("h"), k.alias("k"), F.col(source_col).cast("string").alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"))
+    units = written(rows.groupBy("h", "k", "id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-units")
     found = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum((F.col("size") > 0).cast("long")).alias("units")).collect()
     sizes = {r["source"]: r["size"] for r in found}
     goal = targets(sizes, weights, share, most) if sizes else {}
     ratio = {s: goal[s] / sizes[s] if sizes[s] else 0.0 for s in sizes}
     table = [(r["source"], r["size"], goal[r["source"]], int(ratio[r["source"]]), ratio[r["source"]] - int(ratio[r["source"]]), r["units"]) for r in found]
-    plan = F.broadcast(spark.createDataFrame(table, "plan_source string, source_size long, target double, whole int, p double, _n long"))
+    plan = F.broadcast(spark.createDataFrame(table, "plan_source string, source_size long, target double, whole int, part double, _n long"))
     planned = units.join(plan, units["source"].eqNullSafe(F.col("plan_source")), "left").drop("plan_source")
-    is_open = (F.col("p") > 1e-12) & (F.col("p") < 1 - 1e-12) & (F.col("size") > 0)
-    key = F.struct("id", "size", "source", "n").alias("key")
-    in_play = planned.filter(is_open).select("_n", key, (F.col("size") * F.col("n")).cast("double").alias("mass"), "p")
+    due = F.when(F.col("size") > 0, F.col("part") * F.col("n")).otherwise(0.0)
+    planned = planned.withColumn("more", F.floor(due + 1e-9)).withColumn("p", due - F.col("more"))
+    is_open = (F.col("p") > 1e-9) & (F.col("size") > 0)
+    key = F.struct("id", "h", "k", "size", "source", "n", "more").alias("key")
+    in_play = planned.filter(is_open).select("_n", key, F.col("size").cast("double").alias("mass"), "p")
     rounded = round_pivotal(in_play, max((r["units"] for r in found), default=0), seed)
-    settled = planned.filter(~is_open).select(key, F.when(F.col("size") > 0, F.round("p")).otherwise(0).cast("int").alias("x"))
-    x = rounded.unionByName(settled).select("key.id", "key.source", "key.size", "key.n", "x")
+    settled = planned.filter(~is_open).select(key, F.lit(0).alias("x"))
+    x = rounded.unionByName(settled).select("key.*", "x")
     out = x.join(plan, x["source"].eqNullSafe(F.col("plan_source")), "left")
-    return out.select("id", "source", "size", "n", (F.col("whole") + F.col("x")).alias("copies"), "source_size", "target")
+    return out.select("id", "h", "k", "source", "size", "n", F.when(F.col("size") > 0, F.col("whole")).otherwise(0).cast("long").alias("whole"), (F.col("more") + F.col("x")).alias("more"), "source_size", "target")
+
+
+def repeated(df: DataFrame, times: Column, keys: list[str]) -> DataFrame:
+    """df's rows as often as times says, numbered from 1 in _i; those of more than COPIES are dealt out before they are made."""
+    named = df.withColumn("_times", times)
+    few = named.filter(F.col("_times").between(1, COPIES)).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    many = named.filter(F.col("_times") > COPIES).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_times") - 1) / COPIES))))
+    first = F.col("_part") * COPIES
+    many = many.repartition(*keys, "_part").withColumn("_i", F.explode(F.sequence(first + 1, F.least(first + COPIES, F.col("_times")))))
+    return few.unionByName(many.drop("_part")).drop("_times")
 
 
-def mix(df: DataFrame, id_col: str, source_col: str, size: Column, **options) -> DataFrame:
-    """df's rows, each as often as the mix takes it."""
+def mix(df: DataFrame, source_col: str, size: Column, **options) -> DataFrame:
+    """df's rows, each as often as the mix takes it. Equal rows are one before they are exchanged."""
     names = df.columns
-    chosen = copies(df, id_col, source_col, size, **options).filter(F.col("copies") > 0).select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies")
-    sized = df.select(F.struct(*names).alias("_row"), F.col(id_col).cast("long").alias("_i"), F.col(source_col).cast("string").alias("_s"), F.coalesce(size, F.lit(0)).cast("long").alias("_z"))
-    both = sized.join(chosen, sized["_i"].eqNullSafe(chosen["_id"]) & sized["_s"].eqNullSafe(chosen["_source"]) & (sized["_z"] == chosen["_size"]))
-    return both.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_row.*")
+    chosen = copies(df, source_col, size, **options).select(F.col("h").alias("_a"), F.col("k").alias("_b"), (F.col("n") * F.col("whole") + F.col("more")).alias("_copies")).filter("_copies > 0")
+    h, k = row_hashes(df)
+    once = df.select(F.struct(*names).alias("_row"), h.alias("_h"), k.alias("_k")).groupBy("_h", "_k").agg(F.first("_row").alias("_row"))
+    both = once.join(chosen, (once["_h"] == chosen["_a"]) & (once["_k"] == chosen["_b"])).select("_row", "_h", "_k", "_copies")
+    return repeated(both, F.col("_copies"), ["_h", "_k"]).select("_row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     slim = docs.select("doc_id", "source", n_words(text_or_empty("text")).alias("size"))
-    out = copies(slim, "doc_id", "source", F.col("size"))
-    out = out.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
-    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+    out = repeated(copies(slim, "source", F.col("size"), "doc_id"), F.col("n"), ["h", "k"])
+    taken = F.col("size") * (F.col("whole") + (F.col("_i") <= F.col("more")).cast("long"))
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"))

@@ -134,6 +134,20 @@ def test_sharding(spark, sf, texts):
     hot = spark.range(4000).select("id", F.lit(7).cast("long").alias("h"), F.lit(None).cast("string").alias("shard"))
     sizes = [r["n"] for r in shard(hot, 8, F.lit(10), F.col("h"), F.col("id")).groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()]
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 8
+    rows = spark.range(4000).select(F.when(F.col("id") < 2000, 5).when(F.col("id") < 3000, F.lit(None)).otherwise(F.col("id")).cast("long").alias("id"))
+    got = shard(rows, 8, F.lit(10), F.lit(7), F.col("id")).collect()
+    sizes = collections.Counter(r["shard"] for r in got)
+    assert len(got) == 4000 and len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) <= 12
+    assert all(sorted(r["slot"] for r in got if r["shard"] == k) == list(range(n)) for k, n in sizes.items())
+
+
+def test_write_shards(spark, sf, texts, tmp_path):
+    from plumbline.llm.op03_sharding import shard, write_shards
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    write_shards(shard(docs, 3, F.octet_length("text"), F.lit(0), F.col("doc_id")), f"{tmp_path}/shards")
+    assert sorted(p.name for p in (tmp_path / "shards").glob("shard=*")) == ["shard=0", "shard=1", "shard=2"]
+    assert sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/shards").collect()) == list(enumerate(texts))
 
 
 def lm_tokens(text):
@@ -263,10 +277,28 @@ def test_mixing(spark, sf, texts):
         assert abs(sum(r["taken"] for r in rows) - t) <= max(r["size"] for r in rows)
     assert sorted(map(tuple, op5_mixing(spark, sf).collect())) == sorted(map(tuple, got))
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    mixed = mix(docs, "doc_id", "source", F.col("size"))
+    mixed = mix(docs, "source", F.col("size"))
     assert mixed.columns == docs.columns and {r["n"] for r in mixed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()} <= {1, 2}
 
 
+def test_mixing_repeated_rows(spark, monkeypatch):
+    """Repeated ids and null ids are no units: sums come within one document of the targets, and copies are whole rows."""
+    from plumbline.llm import op05_mixing as m
+
+    monkeypatch.setattr(m, "COPIES", 50)
+    text = "w " * 100
+    rows = [("a", 1 if i < 400 else i, text) for i in range(800)] + [("b", None, text)] * 800 + [("c", i, text) for i in range(100)] + [(None, None, None), (None, 3, "")]
+    docs = spark.createDataFrame(rows, "source string, doc_id long, text string")
+    sizes = {"a": 80_000, "b": 80_000, "c": 10_000, None: 0}
+    goal = m.targets(sizes, m.WEIGHTS, 1.5, 2.0)
+    mixed = m.mix(docs, "source", F.size(F.split(F.coalesce(F.trim("text"), F.lit("")), " ")) * F.length(F.coalesce("text", F.lit(""))).cast("boolean").cast("int"))
+    got = collections.Counter(r["source"] for r in mixed.collect())
+    for s in ("a", "b", "c"):
+        assert abs(100 * got[s] - goal[s]) <= 100
+    each = collections.Counter(r["doc_id"] for r in mixed.filter("source = 'a'").collect())
+    assert mixed.columns == docs.columns and abs(each[1] - 400 * goal["a"] / sizes["a"]) <= 1
+
+
 def test_warc(spark, texts, tmp_path):
     from plumbline.llm.op06_warc import ZipReader, ZipWriter, archive_pages, read_archives
 
@@ -280,6 +312,11 @@ def test_warc(spark, texts, tmp_path):
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         assert (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) == (len(payload), digest, "response" if at == i else "revisit", None if at == i else at)
         assert (r["payload"] is None) if at != i else bytes(r["payload"]) == payload
+    rows = [(4, "x"), (4, "x"), (5, "x"), (None, "x"), (None, "y"), (None, "y"), (None, None), (7, ""), (8, "short")]
+    odd = spark.createDataFrame([(i, None, t) for i, t in rows], "page_id long, url string, html string").repartition(4)
+    read = lambda least: sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in read_archives(archive_pages(odd, f"file://{tmp_path}/{least}", least)).collect()), key=str)
+    assert read(0) == sorted([(4, "response", None), (4, "revisit", 4), (5, "revisit", 4), (None, "revisit", 4), (None, "response", None), (None, "revisit", None), (None, "revisit", 7), (7, "response", None), (8, "response", None)], key=str)
+    assert {x[1] for x in read(2)} == {"response"}
     with zipfile.ZipFile(next((tmp_path / "w").glob("*.wacz"))) as z:
         assert z.testzip() is None and len(z.namelist()) == 2
     other = io.BytesIO()
