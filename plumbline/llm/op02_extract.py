@@ -1,13 +1,15 @@
-"""HTML extraction by maximum-scoring subsequence.
+"""HTML extraction by maximum-scoring subsequences.
 
-A page is a sequence of text blocks and tags. Words score above 0 and tags below, with weights from labelled pages
-(log odds of lying inside the marked article); one linear scan finds the contiguous run with the best sum. Elements
-that never hold an article's text (scripts, menus, forms, adverts, comments and the like, by element name or by the
-words of their class and id) take no part in the scan and give no text.
+A page is a sequence of text blocks and tags. Words score above 0 and tags below, with weights from all pages whose
+article is marked (log odds of lying inside it); one linear scan finds the contiguous runs that can't be made better by
+any change of their ends (Ruzzo and Tompa), and the best of them, with those that score at least RUN_SHARE of it, is the
+text. On a page with a marked article the mark is a feature too: words outside it score below 0, and tags inside it 0.
+Elements that never hold an article's text (scripts, menus, forms, adverts, comments and the like, by element name or by
+class, id and role) take no part in the scan and give no text, unless nothing else on the page has any.
 
 Defined results: a null or empty page has the text ""; markup that is cut off is read as far as it goes; ties between
-runs go to the first, and then the longer one; repeated rows are extracted each; an empty table gives an empty result;
-columns of the input are kept, and those added here replace any of the same name.
+runs keep all of them; repeated rows are extracted each; an empty table gives an empty result; columns of the input
+are kept, and those added here replace any of the same name.
 """
 
 from __future__ import annotations
@@ -23,17 +25,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .common import text_or_empty
 
-#: Labelled pages that weights are fitted on, at most.
-LABELLED_PAGES = 400
+#: Share of the best run's score from which another run is taken too.
+RUN_SHARE = 0.25
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
 _RAW = {n: re.compile(rf"</{n}\b[^>]*(?:>|\Z)|\Z", re.I) for n in ("script", "style", "title", "textarea", "noscript", "iframe", "template", "svg")}
 _NO_TEXT = {*_RAW, "head", "nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "object", "canvas", "audio", "video"}
 _BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _OUTSIDE = r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|comments?|disqus|replies|respond|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|sidebar|side|widget|related|recommend\w*|share|sharing|social|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|legal|copyright)"
-_OUTSIDE_WORDS = re.compile(rf"(?:^|[\s_-]){_OUTSIDE}(?=$|[\s_\d-])", re.I)
-#: In an article, only a whole class, id or role counts.
 _OUTSIDE_WORD = re.compile(_OUTSIDE, re.I)
+#: Of a class of several words every one must be such a word or say nothing; and none of an element's may speak of content.
+_NEUTRAL = re.compile(r"(?:site|page|web|global|main|top|bottom|left|right|primary|secondary|list|items?|box|wrap\w*|container|area|bar|block|section|inner|outer|links?|posts?|articles?|stories|form|title|buttons?|icons?|group|row|col\w*|sticky|fixed|\w|\d+)", re.I)
+_CONTENT = re.compile(r"(?:content|main|article|story|entry|post|body)(?=$|[\s_-])", re.I)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
@@ -54,11 +57,19 @@ def _is_outside(name: str, attributes: str, inside_article: bool) -> bool:
         return True
     if inside_article:
         return any(_OUTSIDE_WORD.fullmatch(w) for k in ("class", "id", "role") for w in named.get(k, "").split())
-    return any(_OUTSIDE_WORDS.search(named[k]) for k in ("class", "id", "role", "aria-label") if k in named)
+    names = [w for k in ("class", "id", "role") for w in named.get(k, "").split()]
+    if any(_CONTENT.match(part) for w in names for part in re.split("[_-]", w)) and not any(_OUTSIDE_WORD.fullmatch(w) for w in names):
+        return False
+    return any(_is_outside_name(w) for w in names) or bool(_OUTSIDE_WORD.fullmatch(named.get("aria-label", "")))
+
 
+def _is_outside_name(name: str) -> bool:
+    parts = [x for x in re.split("[_-]+", name) if x]
+    return any(_OUTSIDE_WORD.fullmatch(x) for x in parts) and all(_OUTSIDE_WORD.fullmatch(x) or _NEUTRAL.fullmatch(x) for x in parts)
 
-def parse(page: str) -> list[tuple[str, str, bool]]:
-    """(tag name or "", text of a block, inside an article element) in page order."""
+
+def parse(page: str, by_name: bool = True) -> list[tuple[str, str, bool]]:
+    """(tag name or "", text of a block, inside an article element) in page order; by_name: without elements outside by class."""
     out: list[tuple[str, str, bool]] = []
     block: list[str] = []
     articles, skip, depth, at, end = 0, "", 0, 0, len(page)
@@ -97,7 +108,7 @@ def parse(page: str) -> list[tuple[str, str, bool]]:
         if not closing and name in _RAW:
             at = _RAW[name].search(page, at).end()
             continue
-        if not closing and name not in _VOID and _is_outside(name, m[3], articles > 0):
+        if not closing and name not in _VOID and (name in _NO_TEXT or by_name) and _is_outside(name, m[3], articles > 0):
             flush()
             skip, depth = name, 1
             continue
@@ -108,48 +119,82 @@ def parse(page: str) -> list[tuple[str, str, bool]]:
     return out
 
 
-def fit_weights(pages: list[str]) -> dict[str, float]:
-    """Weights from pages whose article is marked: "" for a word, above 0; a tag's name for a tag, below 0."""
-    inside, outside = Counter(), Counter()
-    for page in pages:
-        parsed = parse(page)
-        if not any(x[2] for x in parsed):
-            continue
-        for tag, text, in_article in parsed:
-            (inside if in_article else outside)[tag] += len(text.split()) if not tag else 1
-    if not inside:
+def _counted(page: str) -> Counter:
+    """(tag or "" for words, inside the article): how many of a page whose article is marked."""
+    parsed, out = parse(page), Counter()
+    if any(inside for _, _, inside in parsed):
+        for tag, text, inside in parsed:
+            out[tag, inside] += 1 if tag else text.count(" ") + 1
+    return out
+
+
+def fit_weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
+    """Weights from the counts of marked pages: "" for a word, above 0; a tag's name for a tag, below 0."""
+    tags = {t for t, _ in counts if t}
+    n_in, n_out = (sum(n for (_, i), n in counts.items() if i == inside) + len(tags) + 1 for inside in (True, False))
+    if not any(inside for _, inside in counts):
         return {"": 1.0}
-    tags = {t for t in (*inside, *outside) if t}
-    n_in, n_out = sum(inside.values()) + len(tags) + 1, sum(outside.values()) + len(tags) + 1
-    odds = {t: math.log((inside[t] + 1) / n_in) - math.log((outside[t] + 1) / n_out) for t in ("", *tags)}
+    odds = {t: math.log((counts.get((t, True), 0) + 1) / n_in) - math.log((counts.get((t, False), 0) + 1) / n_out) for t in ("", *tags)}
     return {t: min(2.0, max(0.5, odds[t])) if not t else -min(6.0, max(0.01, -odds[t])) for t in odds}
 
 
-def best_run(parsed: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
-    """Start and end of the contiguous run with the greatest sum, in one pass."""
-    best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    word = weights.get("", 1.0)
-    for i, (tag, text, _) in enumerate(parsed):
-        total += weights.get(tag, -0.5) if tag else word * (text.count(" ") + 1)
-        if total <= 0:
-            total, start = 0.0, i + 1
-        elif total >= best and not tag:
-            best, best_at = total, (start, i + 1)
-    return best_at
+def runs(scores: list[float]) -> list[tuple[int, int, float]]:
+    """Start, end and score of every maximal run, in one pass (amortised): each is better than any run it is part of."""
+    out: list[list] = []  # start, end, sum before, sum up to the end
+    total = 0.0
+    for i, score in enumerate(scores):
+        before, total = total, total + score
+        if score <= 0:
+            continue
+        run = [i, i + 1, before, total]
+        while True:
+            at = len(out) - 1
+            while at >= 0 and out[at][2] >= run[2]:
+                at = out[at][4] - 1
+            if at < 0 or out[at][3] >= run[3]:
+                break
+            run[0], run[2] = out[at][0], out[at][2]
+            del out[at:]
+        out.append([*run, at + 1])  # the last: where the next run before it with a lesser sum ends
+    return [(a, b, after - before) for a, b, before, after, _ in out]
 
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     parsed = parse(page)
-    start, stop = best_run(parsed, weights)
-    return "\n".join(text for tag, text, _ in parsed[start:stop] if not tag)
+    if not any(not tag for tag, _, _ in parsed):
+        parsed = parse(page, by_name=False)
+    marked, word = any(inside and not tag for tag, _, inside in parsed), weights.get("", 1.0)
+
+    def score(tag: str, text: str, inside: bool) -> float:
+        if marked and tag:
+            return 0.0 if inside else weights.get(tag, -0.5)
+        return weights.get(tag, -0.5) if tag else (word if inside or not marked else -word) * (text.count(" ") + 1)
+
+    found = runs([score(*x) for x in parsed])
+    least = RUN_SHARE * max((x[2] for x in found), default=0.0)
+    texts = [x for start, stop, total in found if total >= least for x in parsed[start:stop]]
+    return "\n".join(text for tag, text, inside in texts if not tag and (inside or not marked))
 
 
-def learn(pages: DataFrame, column: str = "html", most: int = LABELLED_PAGES) -> dict[str, float]:
-    """Weights from at most so many pages with a marked article: the first ones, so that no task sends more than it must."""
+def learn(pages: DataFrame, column: str = "html") -> dict[str, float]:
+    """Weights from all pages with a marked article; one row a tag name comes to the driver."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for page in batch.column(0).to_pylist():
+                counts.update(_counted(page))
+        # Names that aren't HTML's are the authors' own; they share one weight.
+        rows = Counter()
+        for (tag, inside), n in counts.items():
+            rows[tag if tag in _BLOCK or tag in ("", "a") else "?", inside] += n
+        yield pa.RecordBatch.from_pydict({"tag": pa.array([t for t, _ in rows], pa.string()), "inside": pa.array([i for _, i in rows], pa.bool_()), "n": pa.array(list(rows.values()), pa.int64())})
+
     marked = pages.select(F.col(column).alias("h")).filter(F.col("h").rlike("(?i)<article\\b"))
-    return fit_weights([r["h"] for r in marked.limit(most).collect()])
+    found = marked.mapInArrow(counted, "tag string, inside boolean, n long").groupBy("tag", "inside").agg(F.sum("n").alias("n"))
+    return fit_weights({(r["tag"], r["inside"]): r["n"] for r in found.collect()})
 
 
 def extract_text(pages: DataFrame, weights: dict[str, float], column: str = "html") -> DataFrame:

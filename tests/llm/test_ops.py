@@ -120,6 +120,61 @@ def test_extract_drops_only_hidden_and_outside_elements():
         assert extract(f"<article><div {kept}><p>one two</p></div></article>", weights) == "one two", kept
     for gone in ("hidden", 'hidden=""', 'aria-hidden="true"', 'style="color:red; display: none"', "style='visibility:hidden'", 'class="x share"'):
         assert extract(f"<article><p>one two</p><div {gone}><p>three</p></div></article>", weights) == "one two", gone
+    for kept in ('style="overflow:hidden"', 'class="post hidden-print"', 'class="share-price-report"', 'class="col side-content main-column"', 'class="sidebar"'):
+        assert extract(f"<body><div {kept}><p>one two</p><p>three four</p></div></body>", {"": 1.0, "p": -0.1, "div": -0.5}) == "one two\nthree four", kept
+    for gone in ('class="site-footer"', 'id="cookie-notice"', 'class="ad-banner top"', 'role="navigation"', 'class="comment-list"', 'class="related_posts"'):
+        assert extract(f"<body><div><p>one two three four five</p></div><div {gone}><p>six</p></div></body>", {"": 1.0, "p": -0.1, "div": -0.1}) == "one two three four five", gone
+
+
+def test_maximal_runs():
+    """Against all runs: a maximal one is better than every run inside it that it isn't, and no other touches it."""
+    from plumbline.llm.op02_extract import runs
+
+    rng = random.Random(4)
+    for _ in range(300):
+        scores = [rng.choice([-3, -2, -1, 1, 2, 3]) for _ in range(rng.randint(0, 14))]
+
+        def maximal(a, b):
+            if a == b:
+                return []
+            best, _, start, stop = max(((sum(scores[i:j]), j - i, -i, j) for i in range(a, b) for j in range(i + 1, b + 1)), key=lambda x: (x[0], -x[1], x[2]))
+            return [] if best <= 0 else maximal(a, -start) + [(-start, stop, best)] + maximal(stop, b)
+
+        assert sum(x[2] for x in runs(scores)) == sum(x[2] for x in maximal(0, len(scores))), scores
+
+
+def test_extract_query(spark, tmp_path):
+    """The query against what made the pages: articles with lists of links, inline markup and references, and all around them."""
+    import html
+
+    from plumbline.llm.op02_extract import op2_extract
+
+    rng = random.Random(8)
+    prose = lambda n: " ".join(rng.choice(["one", "two", "a&b", "<x>", "Éa", "three", "four"]) for _ in range(n))
+    rows, expected = [], {}
+    for i in range(60):
+        blocks, body = [], []
+        for _ in range(rng.randint(1, 6)):
+            text = prose(rng.randint(1, 60))
+            blocks.append(text)
+            half = html.escape(text).split(" ")
+            body.append(rng.choice(["<p>%s</p>", "<h2>%s</h2>", "<div class='text-body'><p>%s</div>", "<p><b>%s</b></p>\n"]) % "  \n".join(half))
+            if rng.random() < 0.4:
+                links = [prose(1) for _ in range(30)]
+                blocks += links
+                body.append("<ul>" + "".join(f'<li><a href="/x">{html.escape(x)}</a></li>' for x in links) + "</ul>")
+            if rng.random() < 0.3:
+                body.append(rng.choice(['<aside>%s</aside>', '<form><p>%s</p></form>', '<div class="ad">%s</div>', "<script>%s</script>", "<!-- %s -->"]) % "buy this now")
+        around = '<nav><ul><li><a href="/">home</a></li></ul></nav><header><h1>Site</h1></header><div class="cookie-notice"><p>We use them</p></div>'
+        after = '<section class="comments"><article><p>First! great work indeed</p></article></section><footer><p>&copy; all of it reserved</p></footer>'
+        page = f"<html><head><title>t</title><style>p{{}}</style></head><body>{around}<article>{''.join(body)}</article>{after}</body></html>"
+        rows.append((i, "u", page))
+        expected[i] = "\n".join(blocks)
+    rows += [(60, "u", None), (61, None, "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r for r in op2_extract(spark, str(tmp_path)).collect()}
+    assert {i: r["text"] for i, r in got.items()} == expected | {60: "", 61: ""}
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
 def test_sharding(spark, sf, texts):
