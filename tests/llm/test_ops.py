@@ -421,6 +421,62 @@ def test_decontamination(spark, sf, texts):
     assert {(r["doc_id"], r["item_id"]) for r in matches(hay, asked, answer="answer").collect()} == {(1, 1), (3, 2)}
 
 
+def test_decontamination_retrieves_all_above_threshold():
+    """Block-max WAND against scores of all (passage, segment) pairs, for an index of several blocks and long items."""
+    from plumbline.llm import op08_decontaminate as m
+
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(400)]
+    prose = lambda n: [rng.choice(vocabulary[: rng.choice([20, 400])]) for _ in range(n)]
+    items = [(i, " ".join(prose(rng.randint(3, 200))), None) for i in range(90)] + [(5, "w1 w2 w3", None), (200, "", None), (201, None, None)]
+    index = m.build_index(items)
+    texts = []
+    for _ in range(60):
+        own = rng.choice(items[:90])[1].split()
+        cut = [w if rng.random() < 0.75 else rng.choice(vocabulary) for w in own]
+        texts.append(" ".join(prose(rng.randint(0, 150)) + cut + prose(rng.randint(0, 90))))
+    flat, offsets = m.norm_words(pa.array([None, *texts, ""]))
+    found = m.candidates(index, flat, offsets, 0.6)
+    words_, terms = flat.to_pylist(), {t: i for i, t in enumerate(index.terms.to_pylist())}
+    postings = collections.defaultdict(dict)
+    for i, (a, b) in enumerate(zip(index.block_postings[:-1], index.block_postings[1:], strict=True)):
+        for k in range(a, b):
+            postings[int(index.block_key[i] // index.n_blocks)][int(index.segment[k])] = float(index.impact[k])
+    expected, near = set(), 0
+    for text, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+        for at in range(a, b, m.HALF):
+            scores = collections.Counter()
+            for t in {terms[w] for w in words_[at : min(b, at + 2 * m.HALF)] if w in terms}:
+                scores.update(postings[t])
+            expected |= {(text, int(at), index.segment_item[s]) for s, x in scores.items() if x >= 0.6}
+            near += sum(0.3 <= x < 0.6 for x in scores.values())
+    assert found >= expected and len(found - expected) <= 2 and len(expected) > 60 and near > 100
+    own = collections.Counter()
+    for t in postings.values():
+        own.update(t)
+    assert all(math.isclose(x, 1, rel_tol=1e-4) for x in own.values())
+
+
+def test_decontamination_in_turns(spark, sf, monkeypatch):
+    """Statistics are those of all items, so that turns change nothing."""
+    from plumbline.llm import op08_decontaminate as m
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    own = [r["text"] for r in docs.filter("length(text) between 60 and 4000").collect()]
+    items = spark.createDataFrame([(i, " ".join(t.split()[:40])) for i, t in enumerate(own)], "item_id long, text string")
+    once = {tuple(r) for r in m.matches(docs, items).collect()}
+    monkeypatch.setattr(m, "WORDS_AT_ONCE", 300)
+    assert len(once) >= len(own) and {tuple(r) for r in m.matches(docs, items).collect()} == once
+
+
+def test_decontamination_index_is_bounded():
+    from plumbline.llm import op08_decontaminate as m
+
+    rng = random.Random(2)
+    items = [(i, " ".join(f"w{int(rng.paretovariate(0.3)) % 200_000}" for _ in range(60)), None) for i in range(16_000)]
+    assert m.build_index(items).n_bytes < 60 * 60 * 16_000
+
+
 def test_jaccard(spark, sf, texts):
     from plumbline.llm.op09_jaccard import op9_jaccard
 
