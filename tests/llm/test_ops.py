@@ -637,11 +637,128 @@ def test_quality_word_test_decides(spark):
     assert {r["doc_id"] for r in keep_good(docs).collect()} == set(range(60))
 
 
-def test_pipeline(spark, sf):
-    import corpus_pipeline
+def jensen_shannon(counts, reference):
+    total, mass = sum(counts), sum(reference)
+    p, q = [x / total for x in counts], [x / mass for x in reference]
+    term = lambda a, b: a * math.log2(a / ((a + b) / 2)) if a > 0 else 0.0
+    return math.sqrt(max(0.0, sum(term(a, b) + term(b, a) for a, b in zip(p, q, strict=True)) / 2))
+
+
+def test_quality_distances(spark, tmp_path):
+    """Both distances, bounds and verdicts of op10_quality by brute force, over languages with and without a word test."""
+    from plumbline.llm.op10_quality import FUNCTION_WORDS, Rules, op10_quality
+
+    import regex
+
+    rng, rules = random.Random(11), Rules()
+    rows = []
+    for i in range(260):
+        lang = ["en", "de", "xx", None][i % 4]
+        common = FUNCTION_WORDS.get(lang, ["zu", "la"])
+        share = 0.3 if i % 13 else 0.0
+        word = lambda: rng.choice(common) if rng.random() < share else rng.choice(["%d" % rng.randrange(10**6), "x#$", "Wort,", "abel", "quu.", "Und", "éa"])
+        rows.append((i, " ".join(word() for _ in range(rng.choice([5, 24, 25, 49, 50, 120]))), lang))
+    rows += [(260, None, "en"), (261, "", "en"), (262, " ".join("#%d$&" % k for k in range(90)), "en"), (263, rows[5][1], "de")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op10_quality(spark, str(tmp_path)).collect()}
+    known, classes, common, n = {}, {}, {}, {}
+    for i, text, lang in rows:
+        text = text or ""
+        w, k = words(text), lang if lang in FUNCTION_WORDS else ""
+        rare = [len(regex.findall(p, text)) for p in (r"\p{Lu}", "[0-9]", r"[.,;:!?'\"()\-]", r"[#*$%&|<>]")]
+        chars = sum(map(len, w))
+        classes[i] = [max(0, chars - sum(rare)), len(text) - chars, *rare]
+        found = [x.lower() for x in w if x in {y for f in FUNCTION_WORDS.get(lang, []) for y in (f, f.capitalize())}]
+        common[i] = [found.count(f) for f in FUNCTION_WORDS.get(lang, [])] + [len(w) - len(found)]
+        known[i], n[i] = k, (len(w), len(text))
+    mean = lambda rows: [sum(c) / len(rows) for c in zip(*rows, strict=True)]
+    far_c, far_w, by = {}, {}, collections.defaultdict(set)
+    for k in set(known.values()):
+        own = [i for i in known if known[i] == k and n[i][0] >= rules.least_words]
+        ref_c, ref_w = mean([[x / n[i][1] for x in classes[i]] for i in own]), mean([[x / n[i][0] for x in common[i]] for i in own])
+        for i in (i for i in known if known[i] == k):
+            far_c[i] = jensen_shannon(classes[i], ref_c) if sum(classes[i]) else 0.0
+            far_w[i] = jensen_shannon(common[i], ref_w) if k and sum(common[i]) else 0.0
+            if k and n[i][0] >= rules.word_least_words:
+                by[k].add(round(far_w[i], 6))
+    bounds = {}
+    for k, distances in by.items():
+        bins = sorted(math.floor(d * 1000) for d in distances)
+        low, high = ((bins[max(0, math.ceil(len(bins) * p / 4) - 1)] + 0.5) / 1000 for p in (1, 3))
+        bounds[k] = high + rules.word_fence * (high - low) if len(bins) >= rules.word_least_texts else rules.word_bound
+    for i in known:
+        r = got[i]
+        assert math.isclose(r["class_distance"], far_c[i], abs_tol=1e-9) and math.isclose(r["word_distance"], far_w[i], abs_tol=1e-9), i
+        far = (far_c[i] > rules.class_bound and n[i][0] >= rules.class_least_words) or (far_w[i] > bounds.get(known[i], rules.word_bound) and n[i][0] >= rules.word_least_words)
+        assert r["kept"] == (not r["base_failed"] and not far), i
+    assert {r["kept"] for r in got.values() if not r["base_failed"]} == {True, False}
+
+
+def test_oracles(spark):
+    """Queries that SQL can express, against DuckDB."""
+    import duckdb
+
+    from plumbline.llm.queries import ORACLES, QUERIES
+
+    at, db = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "pages", "benchmark", "conversations"):
+        db.execute(f"create view {t} as select * from '{at}/{t}.parquet'")
+    plain = lambda v: round(v, 6) if isinstance(v, float) else v
+    for name, sql in ORACLES.items():
+        df = QUERIES[name](spark, at)
+        columns, found = sorted(df.columns), db.execute(sql)
+        names = [d[0] for d in found.description]
+        assert sorted(names) == columns, name
+        expected = sorted((tuple(plain(x[names.index(c)]) for c in columns) for x in found.fetchall()), key=str)
+        assert sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=str) == expected and expected, name
+
+
+def test_pipeline(spark, sf, texts):
+    """Each stage by brute force on what the one before it kept."""
+    import corpus_pipeline as p
+
+    from plumbline.llm.op10_quality import judge
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, docs = docs, corpus_pipeline.written(stage(spark, docs, sf), name)
-        assert docs.columns == before.columns
-    assert "doc_id" in corpus_pipeline.run(spark, sf).columns
+    columns, ids = docs.columns, lambda df: sorted(r["doc_id"] for r in df.collect())
+    kept = p.written(p.quality(spark, docs, sf), "quality")
+    expected = ids(judge(docs).filter("kept"))
+    assert kept.columns == columns and ids(kept) == expected and 0 < len(expected) < len(texts)
+    sets = {i: shingles(texts[i]) for i in expected}
+    left, chosen = set(expected), set()
+    while left:
+        group, open_ = set(), {min(left)}
+        while open_:
+            i = open_.pop()
+            group.add(i)
+            open_ |= {j for j in left - group if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+        chosen.add(min(group))
+        left -= group
+    single = p.written(p.near_duplicates(spark, kept, sf), "single")
+    assert single.columns == columns and ids(single) == sorted(chosen) and len(chosen) < len(expected)
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").filter("item_id = 1").first()["text"]
+    norm = lambda t: [w.strip(".,") for w in (t or "").lower().split()]
+    grams = lambda t: {tuple(norm(t)[i : i + 5]) for i in range(len(norm(t)) - 4)}
+    clean = p.written(p.decontamination(spark, single, sf), "clean")
+    clean_ids = sorted(i for i in chosen if len(grams(texts[i]) & grams(item)) < 0.8 * len(grams(item)))
+    assert clean.columns == columns and ids(clean) == clean_ids and len(clean_ids) < len(chosen)
+    mixed = p.written(p.mixing(spark, clean, sf), "mixed")
+    from plumbline.llm.op05_mixing import WEIGHTS, targets
+
+    rows = {r["doc_id"]: r for r in clean.collect()}
+    sizes, most = collections.Counter(), collections.Counter()
+    for r in rows.values():
+        n = len(words(r["text"]))
+        sizes[r["source"]] += n
+        most[r["source"]] = max(most[r["source"]], n)
+    took = collections.Counter(ids(mixed))
+    assert mixed.columns == columns and set(took) <= set(rows) and max(took.values()) <= 2
+    for s, goal in targets(sizes, WEIGHTS, 1.5, 2.0).items():
+        assert abs(sum(k * len(words(rows[i]["text"])) for i, k in took.items() if rows[i]["source"] == s) - goal) <= most[s]
+    out = p.sharding(spark, mixed, sf).collect()
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == sorted((i, len((texts[i] or "").encode()) + 16, zlib.crc32((texts[i] or "").encode())) for i in took.elements())
+    slots = collections.defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert collections.Counter(ids(p.run(spark, sf))) == took
