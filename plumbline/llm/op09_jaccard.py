@@ -7,10 +7,10 @@ sets, which so few groups bound badly, are bounded again by finer vectors, whose
 
 So that no pair of all entities need be looked at, entities meet in cells: of an order of all shingles (frequent ones
 last, then by hash), two sets that are similar enough share one of their first n - ceil(0.8 n) + 1. The entity of a
-cell that comes first in a fixed order is the cell's leader, and cells of one leader are one place: all pairs of a cell
+cell with the least hash is the cell's leader, and cells of one leader are one place: all pairs of a cell
 have its leader in common, so each pair is looked at in the place of the least leader they share. Large places are
 divided into blocks, and pairs of blocks are tasks of their own. A first R-tree join of a block pair tells which
-entities have any partner that the bounds allow; only their sets are made, and a second join verifies every pair that is
+entities have any partner that the bounds allow; only their texts are gathered, and a second join verifies every pair that is
 left, on whole sets, by products of incidence matrices. Pairs never leave a task: it returns a spanning forest of its
 links, and each entity's number of them.
 
@@ -43,8 +43,9 @@ BLOCK, BLOCK_BYTES, MATRIX = 2_048, 16 << 20, 4 << 20
 PER_GROUP = 8
 #: A shingle is frequent from one in so many texts on; texts are looked at whole, summaries have so many rows a task.
 FREQUENT, TASK_SUMMARY, MOST_FREQUENT = 500, 4_096, 65_536
-#: Bits of the filter that tells which texts' sets are needed (false positives cost time only).
-FILTER_BITS = 1 << 24
+#: Bits of the filters that tell which texts are needed, and which shingles come in several sets (false positives cost
+#: time only).
+FILTER_BITS, SHARED_BITS = 1 << 24, 1 << 26
 
 
 def least_prefix(n: np.ndarray | int):
@@ -141,22 +142,51 @@ def _tag() -> Column:
     return F.coalesce("doc_id", F.xxhash64("text"))
 
 
-def _bit(of: Column) -> Column:
-    return F.pmod(F.xxhash64(of), F.lit(FILTER_BITS))
+def _bit(of: Column, n: int = FILTER_BITS) -> Column:
+    return F.pmod(F.xxhash64(of), F.lit(n))
 
 
-def _sets(shared):
-    """(sid, set) of the texts whose id's bit is in the filter; a text's bit is in column 1, the text in 2."""
+def _filter(bits: DataFrame, n: int) -> bytes:
+    """A filter of n bits with those that are in the column bit."""
+    words = bits.groupBy(F.shiftright("bit", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits"))
+    table, got = np.zeros(n // 64, np.int64), words.toArrow()
+    table[got.column("w").to_numpy()] = got.column("bits").to_numpy()
+    return table.tobytes()
+
+
+def _is_set(bits: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def _shared_bit(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(17)).astype(np.int64) & (SHARED_BITS - 1)
+
+
+def _shared(shared):
+    """(key, sid) of the first shingles, lists in column keys, whose bits are in the filter."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            lists = batch.column(1)
+            keys, sid = lists.flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), pc.list_value_length(lists).to_numpy())
+            good = _is_set(bits, _shared_bit(keys.view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[good]), pa.array(sid[good])], ["key", "sid"])
+
+    return make
+
+
+def _wanted(shared):
+    """(sid, text) of the texts whose id's bit is in the filter; a text's bit is in column 1, the text in 2."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for whole in batches:
             bit = whole.column(1).to_numpy()
-            wanted = whole.filter(pa.array((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
+            wanted = whole.filter(pa.array(_is_set(bits, bit)))
             for batch in slices(wanted, 2):
-                sets = shingle_sets(batch.column(2))
-                ids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "set"])
+                ids = [set_id(s) if len(s) else None for s in shingle_sets(batch.column(2))]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), batch.column(2)], ["sid", "text"])
 
     return make
 
@@ -275,18 +305,25 @@ def _points(table: pa.Table) -> np.ndarray:
 
 
 def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the rows of each block pair those that have a partner in it by the R-trees' bounds, without their vectors."""
+    """Of the rows of each block pair those that have a partner in it by the R-trees' bounds, without their vectors.
+
+    Pairs that share a lesser leader are looked at in that one's place.
+    """
     for table, at in _groups(batches):
         sizes = np.diff(at)
         good = np.zeros(table.num_rows, bool)
         side, n = table.column("side").to_numpy(), table.column("n").to_numpy()
         fine = table.column("fine").to_pylist()
+        lists, leader = table.column("leaders").combine_chunks(), table.column("leader").to_numpy()
         small = np.repeat(sizes <= LEAF, sizes)
         rows = np.flatnonzero(small)
         if len(rows):
             group = np.repeat(np.arange(len(sizes)), sizes)[rows]
             x, y = _near(group, side[rows], n[rows], _points(table.filter(pa.array(small))))
             x, y = rows[x], rows[y]
+            each = {k: {v for v in lists[k].as_py() if v < leader[k]} for k in np.unique(np.concatenate([x, y])).tolist()}
+            here = np.array([each[p].isdisjoint(each[q]) for p, q in zip(x.tolist(), y.tolist(), strict=True)], bool)
+            x, y = x[here], y[here]
             ok = _finely_allowed(fine, n, x, y)
             good[x[ok]] = good[y[ok]] = True
         for start, stop in zip(at[:-1], at[1:], strict=True):
@@ -296,10 +333,13 @@ def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left, right = (np.flatnonzero(w) + start for w in (side[start:stop] <= 0, side[start:stop] >= 0))
             a = RTree(points[left - start], n[left])
             b = a if side[start] == 0 else RTree(points[right - start], n[right])
+            each, row = _lesser(lists, int(start), int(stop), leader[start])
+            elsewhere = _meet(each, row, left, right) if len(each) else None
             for x, y in a.join(b):
-                x, y = left[x], right[y]
-                apart = x != y
-                x, y = x[apart], y[apart]
+                here = left[x] != right[y]
+                if elsewhere is not None:
+                    here &= ~elsewhere[x, y]
+                x, y = left[x[here]], right[y[here]]
                 ok = _finely_allowed(fine, n, x, y)
                 good[x[ok]] = good[y[ok]] = True
         out = table.filter(pa.array(good)).drop_columns(["point", "fine"])
@@ -360,7 +400,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends: list[tuple[np.ndarray, np.ndarray]] = []
         counts = np.zeros(table.num_rows, np.int64)
         sid, n, copies, side, leader = (table.column(c).to_numpy() for c in ("sid", "n", "copies", "side", "leader"))
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set").combine_chunks()]
+        sets = [s for part in slices(table.select(["text"]).to_batches()[0], 0) for s in shingle_sets(part.column(0))]
         leaders = table.column("leaders").combine_chunks()
         for start, stop in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             if stop - start > 1:
@@ -383,10 +423,7 @@ def _block(start: int, stop: int, sets: list[np.ndarray], n: np.ndarray, copies:
     a = RTree(np.stack([made[k] for k in left]), n[left])
     b = a if own else RTree(np.stack([made[k] for k in right]), n[right])
     left, right = left[a.order], right[b.order]
-    lists = leaders.slice(start, stop - start)
-    each, row = lists.flatten().to_numpy(), np.repeat(np.arange(start, stop), pc.list_value_length(lists).to_numpy())
-    lesser = each < leader
-    each, row = each[lesser], row[lesser]
+    each, row = _lesser(leaders, start, stop, leader)
     partners: dict[int, set[int]] = {}
     for x, y in a.leaves(b):
         partners.setdefault(x // LEAVES, set()).add(y)
@@ -418,6 +455,13 @@ def _block(start: int, stop: int, sets: list[np.ndarray], n: np.ndarray, copies:
     return out
 
 
+def _lesser(leaders: pa.Array, start: int, stop: int, leader: int) -> tuple[np.ndarray, np.ndarray]:
+    """The leaders below this one that the rows from start to stop have, and whose they are."""
+    lists = leaders.slice(start, stop - start)
+    each, row = lists.flatten().to_numpy(), np.repeat(np.arange(start, stop), pc.list_value_length(lists).to_numpy())
+    return each[each < leader], row[each < leader]
+
+
 def _meet(each: np.ndarray, row: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether rows i and j have one of the leaders (each, of row) in common."""
     of = [np.flatnonzero(np.isin(row, x)) for x in (i, j)]
@@ -455,15 +499,22 @@ class Join:
         self.rows = written(features.select("doc_id", "n", "sid"), "jaccard-rows")
         self.entities = written(full.select("sid", "rep", "tag", "n", "copies", "point", "fine"), "jaccard-entities")
         forget(features)
-        self.places = self._places(full.select(F.explode("keys").alias("key"), "sid"))
+        self.places = self._places(full.select("sid", "keys"))
         forget(full)
         released(self.spark)
 
-    def _places(self, rows: DataFrame) -> DataFrame:
-        """(leader, sid): what entities meet in, from the cells (key, sid) that hold more than one."""
-        first = F.min(F.struct(F.xxhash64("sid").alias("h"), F.col("sid").alias("leader")))
-        cells = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), first.alias("first")).filter("size > 1")
-        return written(rows.join(cells.select("key", "first.leader"), "key").select("leader", "sid").distinct(), "jaccard-places")
+    def _places(self, first: DataFrame) -> DataFrame:
+        """(leader, sid): what entities meet in, from the cells (key, sid) that hold more than one; first: (sid, keys)."""
+        # Few first shingles are in more than one set: the others are left out, by a filter, before sets go with them.
+        several = first.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        bits = several.select(F.shiftright("key", 17).bitwiseAND(F.lit(SHARED_BITS - 1)).alias("bit"))
+        keep = self.spark.sparkContext.broadcast(_filter(bits, SHARED_BITS))
+        rows = written(first.mapInArrow(_shared(keep), "key long, sid long"), "jaccard-shared")
+        released(self.spark)
+        cells = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("sid").alias("leader")).filter("size > 1")
+        out = written(rows.join(cells.select("key", "leader"), "key").select("leader", "sid").distinct(), "jaccard-places")
+        forget(rows)
+        return out
 
     def block_pairs(self) -> DataFrame:
         """(leader, i, j, side, sid, n, copies, leaders): each place's rows in pairs of its blocks, i <= j.
@@ -480,15 +531,12 @@ class Join:
         side = F.when(F.col("own") == F.col("o"), 0).when(F.col("own") < F.col("o"), -1).otherwise(1)
         return other.select("leader", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), side.alias("side"), "sid", "n", "copies", "leaders")
 
-    def _sets_of(self, sids: DataFrame) -> DataFrame:
-        """(sid, set) of the entities in sids, made from their texts again."""
+    def _texts_of(self, sids: DataFrame) -> DataFrame:
+        """(sid, text) of the entities in sids, and perhaps some others, once each."""
         tags = sids.join(self.entities.select("sid", "tag"), "sid").select(_bit(F.col("tag")).alias("bit"))
-        words = tags.groupBy(F.shiftright("bit", 5).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits"))
-        table, got = np.zeros(FILTER_BITS // 32, np.uint32), words.toArrow()
-        table[got.column("w").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
         source = self.docs.select("doc_id", _bit(_tag()).alias("bit"), "text")
-        made = source.mapInArrow(_sets(self.spark.sparkContext.broadcast(table.tobytes())), "sid long, set binary")
-        return written(made.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-sets")
+        made = source.mapInArrow(_wanted(self.spark.sparkContext.broadcast(_filter(tags, FILTER_BITS))), "sid long, text string")
+        return made.filter("sid is not null").groupBy("sid").agg(F.first("text").alias("text"))
 
     def links(self) -> DataFrame:
         """(a, b, null): links that connect all components, and (a, null, n): what has to be summed to each entity's number."""
@@ -497,11 +545,10 @@ class Join:
         hopeful = "leader long, i int, j int, side int, n long, copies long, sid long, leaders array<long>"
         names = [x.split()[0] for x in hopeful.split(", ")]
         left = written(pairs.select(*names, "point", "fine").mapInArrow(_hopeful, hopeful), "jaccard-hopeful")
-        sets = self._sets_of(left.select("sid").distinct())
-        whole = left.join(sets, "sid").select(*names, "set").repartition(*order).sortWithinPartitions(*order)
+        texts = self._texts_of(left.select("sid").distinct())
+        whole = left.join(texts, "sid").select(*names, "text").repartition(*order).sortWithinPartitions(*order)
         out = written(whole.mapInArrow(_verified, "a long, b long, n long"), "jaccard-links")
         forget(left)
-        forget(sets)
         released(self.spark)
         return out
 
