@@ -11,7 +11,8 @@ from pyspark.sql import Column, functions as F, types as T
 from .types import INT_BITS, ColType, parse, spark_type
 
 IPV4 = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
-UUID = r"^[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}$"
+#: Fixed value: what a decimal's text looks like.
+DECIMAL = r"^-?\d+(\.\d+)?$"
 NIL = "00000000-0000-0000-0000-000000000000"
 
 
@@ -24,8 +25,9 @@ def _checked(ok: Column, value: Column, what: str, original: Column) -> Column:
 
 
 def to_float(c: Column, to: str = "double") -> Column:
-    """Numbers and numeric text, with white space around it; empty text raises."""
-    return F.coalesce(F.trim(c.cast("string")).cast(to), F.lit(0).cast(to))
+    """Numbers, truth values and numeric text, with white space around it; empty text raises."""
+    text = F.trim(c.cast("string"))
+    return F.coalesce(F.when(text == "true", "1").when(text == "false", "0").otherwise(text).cast(to), F.lit(0).cast(to))
 
 
 def to_int(c: Column, name: str) -> Column:
@@ -48,7 +50,7 @@ def to_int(c: Column, name: str) -> Column:
 
 def to_bool(c: Column) -> Column:
     text = F.lower(c.cast("string"))
-    number = F.expr("true") & text.rlike(r"^-?\d+(\.\d+)?$")
+    number = text.rlike(DECIMAL)
     return F.when(c.isNull(), False).when(text.isin("true", "1"), True).when(text.isin("false", "0"), False).when(number, F.try_to_number(text, F.lit("999999999999999999")).isNotNull()).otherwise(_fail("Bool", c).cast("boolean"))
 
 
@@ -58,7 +60,7 @@ def to_decimal(c: Column, precision: int, scale: int) -> Column:
     whole = F.regexp_extract(text, r"^(-?\d+)", 1)
     part = F.rpad(F.regexp_extract(text, r"\.(\d+)$", 1), scale, "0") if scale else F.lit("")
     cut = F.concat(whole, F.lit("."), part) if scale else whole
-    cut = F.when(text.rlike(r"^-?\d+(\.\d+)?$"), cut).otherwise(_fail("Decimal", c))
+    cut = F.when(text.rlike(DECIMAL), cut).otherwise(_fail("Decimal", c))
     zero = "0." + "0" * scale if scale else "0"
     out = F.when(c.isNull(), zero).otherwise(cut)
     return out.cast(f"decimal({precision},{scale})") if precision <= 38 else out
@@ -73,7 +75,7 @@ def to_text(c: Column, of: T.DataType | None = None) -> Column:
 def to_uuid(c: Column) -> Column:
     bare = F.lower(F.regexp_replace(c.cast("string"), "-", ""))
     dashed = F.concat_ws("-", *(F.substring(bare, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
-    return F.when(c.isNull(), NIL).otherwise(_checked(c.cast("string").rlike(UUID), dashed, "UUID", c))
+    return F.when(c.isNull(), NIL).otherwise(_checked((F.length(bare) == 32) & ~bare.rlike("[^0-9a-f]") & c.cast("string").rlike("^[^-]{8}-?[^-]+-?[^-]+-?[^-]+-?[^-]{12}$"), dashed, "UUID", c))
 
 
 def to_ipv4(c: Column) -> Column:
@@ -126,7 +128,9 @@ def to_timestamp(c: Column, precision: int = 0, ranged: bool = True) -> Column:
     at = F.coalesce(c.cast("timestamp"), F.lit("1970-01-01 00:00:00").cast("timestamp"))
     micros = F.unix_micros(at)
     if precision > 6:
-        return micros * 10 ** (precision - 6)
+        # Spark's timestamps end at microseconds: the digits after are read from the text.
+        more = F.rpad(F.regexp_extract(c.cast("string"), r"\.\d{6}(\d{1,3})", 1), 3, "0").cast("long")
+        return micros * 10 ** (precision - 6) + F.when(c.isNull(), 0).otherwise(F.floor(more / 10 ** (9 - precision)))
     if ranged:
         seconds = F.floor(micros / 1_000_000)
         return F.timestamp_seconds(_checked(seconds.between(0, (1 << 32) - 1), seconds, "DateTime", c)).cast("timestamp_ntz")
@@ -140,7 +144,7 @@ def ticks_to_timestamp(ticks: Column, precision: int, closest: bool = False) ->
     if precision <= 6:
         return F.timestamp_micros(ticks * 10 ** (6 - precision))
     step = 10 ** (precision - 6)
-    micros = F.floor(ticks / step).cast("long")
+    micros = ((ticks - F.pmod(ticks, F.lit(step))).cast("decimal(20,0)") / F.lit(step).cast("decimal(5,0)")).cast("long")
     return F.timestamp_micros(micros if closest else _checked(ticks % step == 0, micros, "timestamp", ticks))
 
 
@@ -180,13 +184,24 @@ def coerce(c: Column, t: ColType | str, of: T.DataType | None = None) -> Column:
             inner = of.elementType if isinstance(of, T.ArrayType) else None
             return F.coalesce(F.transform(c, lambda x: coerce(x, t.args[0], inner)), F.array().cast(spark_type(t)))
         case "Map":
-            return F.coalesce(c.cast(spark_type(t)), F.create_map().cast(spark_type(t)))
+            kinds = (of.keyType, of.valueType) if isinstance(of, T.MapType) else (None, None)
+            values = F.transform_values(c, lambda k, v: coerce(v, t.args[1], kinds[1]).cast(spark_type(t.args[1])))
+            return F.coalesce(F.transform_keys(values, lambda k, v: coerce(k, t.args[0], kinds[0]).cast(spark_type(t.args[0]))), F.create_map().cast(spark_type(t)))
         case "Tuple":
             fields = of.fields if isinstance(of, T.StructType) else [None] * len(t.args)
-            made = [coerce(c.getField(f.name) if f is not None else c.getField(n or f"_{i}"), a, f.dataType if f is not None else None).alias(n or f"_{i}") for i, (n, a, f) in enumerate(zip(t.names, t.args, fields, strict=False), 1)]
+            made = [coerce(c.getField(f.name) if f is not None else c.getField(n or f"_{i}"), a, f.dataType if f is not None else None).cast(spark_type(a)).alias(n or f"_{i}") for i, (n, a, f) in enumerate(zip(t.names, t.args, fields, strict=False), 1)]
             return F.struct(*made)
+        case "Nested":
+            inner = of.elementType if isinstance(of, T.ArrayType) else None
+            row = ColType("Tuple", t.args, t.names)
+            return F.coalesce(F.transform(c, lambda x: coerce(x, row, inner)), F.array().cast(spark_type(t)))
+        case "Point":
+            return F.coalesce(c.cast(spark_type(t)), F.struct(F.lit(0.0).alias("_1"), F.lit(0.0).alias("_2")))
+        case "Ring" | "Polygon" | "MultiPolygon":
+            return F.coalesce(c.cast(spark_type(t)), F.array().cast(spark_type(t)))
         case "Dynamic":
-            return F.to_variant_object(c) if isinstance(of, (T.StructType, T.ArrayType, T.MapType)) else c.cast("variant")
+            # Text of JSON has its own type, and other text is text.
+            return F.to_variant_object(c) if isinstance(of, (T.StructType, T.ArrayType, T.MapType)) else F.coalesce(F.try_parse_json(c.cast("string")), c.cast("variant"))
         case "JSON" if not t.args:
             return F.parse_json(c)
     if t.name in INT_BITS:

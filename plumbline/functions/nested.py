@@ -33,11 +33,24 @@ def json_path(column: Column, path: str, to: str) -> Column:
     return F.try_variant_get(F.try_parse_json(column), path, to)
 
 
+#: Bytes of distinct values up to which a dictionary is broadcast.
+DICTIONARY_BYTES = 8 << 20
+
+
+def row_numbers(df: DataFrame, order: list[str], name: str = "row") -> DataFrame:
+    """df with dense numbers from 0 in an order, without a window over all rows: sorted in parallel, then counted."""
+    from pyspark.sql import types as T
+
+    out = T.StructType([*df.schema.fields, T.StructField(name, T.LongType(), False)])
+    numbered = df.orderBy(*order).rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
+    return df.sparkSession.createDataFrame(numbered, out)
+
+
 def dictionary_encode(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """The distinct values with dense codes, and df with a code in the column's place."""
-    values = df.select(column).distinct()
-    coded = values.withColumn("code", F.dense_rank().over(Window.orderBy(column)) - 1)
-    return coded, df.join(F.broadcast(coded) if values.limit(100_001).count() <= 100_000 else coded, column).drop(column)
+    """The distinct values with dense codes in their order, and df with a code in the column's place; null has the code null."""
+    coded = row_numbers(df.select(column).filter(F.col(column).isNotNull()).distinct(), [column], "code")
+    size = coded.agg(F.sum(F.octet_length(F.col(column).cast("string")) + 16).alias("n")).first()["n"] or 0
+    return coded, df.join(F.broadcast(coded) if size <= DICTIONARY_BYTES else coded, column, "left").drop(column)
 
 
 def densify(sparse: DataFrame, n: int, default: Column) -> DataFrame:
@@ -47,14 +60,16 @@ def densify(sparse: DataFrame, n: int, default: Column) -> DataFrame:
 
 
 def flatten(df: DataFrame, column: str) -> DataFrame:
-    """A row for each element, with its place."""
-    return df.select(*[c for c in df.columns if c != column], F.posexplode(column).alias("pos", "value"))
+    """A row for each element, with its place; an empty array is one row at place -1, a null one at place null."""
+    rest = [c for c in df.columns if c != column]
+    rows = df.select(*rest, F.size(column).alias("_n"), F.posexplode_outer(column).alias("pos", "value"))
+    return rows.withColumn("pos", F.when((F.col("_n") == 0) & F.col("pos").isNull(), -1).otherwise(F.col("pos"))).drop("_n")
 
 
 def unflatten(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The inverse of flatten()."""
-    pairs = F.sort_array(F.collect_list(F.struct("pos", "value")))
-    return df.groupBy(*keys).agg(F.transform(pairs, lambda p: p["value"]).alias(name))
+    """The inverse of flatten(), where keys tell its rows apart."""
+    pairs = F.sort_array(F.collect_list(F.when(F.col("pos") >= 0, F.struct("pos", "value"))))
+    return df.groupBy(*keys).agg(F.when(F.max("pos").isNotNull(), F.transform(pairs, lambda p: p["value"])).alias(name))
 
 
 def canonical(c: Column, t: T.DataType) -> Column:
@@ -83,3 +98,40 @@ def differences(a: DataFrame, b: DataFrame) -> tuple[int, int]:
     """Rows of a that b hasn't, and the other way round, by canonical hash."""
     x, y = a.select(row_hash(a).alias("h")), b.select(row_hash(b).alias("h"))
     return x.exceptAll(y).count(), y.exceptAll(x).count()
+
+
+def differing_columns(a: DataFrame, b: DataFrame) -> list[str]:
+    """The columns whose values, as multisets, aren't the same in a and b; and those that only one of them has."""
+    out = [c for c in [*a.columns, *b.columns] if c not in a.columns or c not in b.columns]
+    for f in a.schema.fields:
+        if f.name in b.columns:
+            x, y = (t.select(F.xxhash64(canonical(F.col(f.name), f.dataType)).alias("h")) for t in (a, b))
+            if not x.exceptAll(y).isEmpty() or not y.exceptAll(x).isEmpty():
+                out.append(f.name)
+    return out
+
+
+#: Whole numbers by the bits that they need, for the type that holds several.
+_RANK = ["Int8", "Int16", "Int32", "Int64", "Int128", "Int256"]
+
+
+def common_type(kinds: list[str]) -> str:
+    """The type that holds the values of several: the widest number, a nullable one if any is, or a variant of them all."""
+    from .types import INT_BITS, parse
+
+    types = [parse(k) for k in kinds]
+    nullable, plain = any(t.name == "Nullable" for t in types), list(dict.fromkeys(str(t.args[0] if t.name == "Nullable" else t) for t in types))
+    if len(plain) == 1:
+        out = plain[0]
+    elif all(p in INT_BITS for p in plain):
+        bits = [INT_BITS[p] for p in plain]
+        if all(not signed for _, signed in bits):
+            out = f"UInt{max(b for b, _ in bits)}"
+        else:
+            need = max(b if signed else 2 * b for b, signed in bits)
+            out = next((r for r in _RANK if INT_BITS[r][0] >= need), "Int256")
+    elif all(p in INT_BITS or p.startswith("Float") for p in plain):
+        out = "Float64"
+    else:
+        return f"Variant({', '.join(sorted(plain))})"
+    return f"Nullable({out})" if nullable else out

@@ -5,6 +5,8 @@ Each query runs in a session of its own, so that its temporary views and setting
 
 from __future__ import annotations
 
+import json
+import logging
 import threading
 import time
 import uuid
@@ -15,19 +17,25 @@ from functools import cached_property
 from typing import Any
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from .functions import coerce as C
 from .functions.types import ColType, parse, schema as make_schema, structure
+from .plans.clauses import grand_total
 from .plans.shim import Rewritten, rewrite
 from .sources import formats
 
 #: Settings that have a counterpart in Spark. Others are accepted, and said to have no effect.
 SETTINGS = {
     "session_timezone": "spark.sql.session.timeZone", "max_threads": "spark.sql.shuffle.partitions", "max_block_size": "spark.sql.execution.arrow.maxRecordsPerBatch",
-    "distributed_plan_max_rows_to_broadcast": "spark.sql.autoBroadcastJoinThreshold", "join_runtime_bloom_filter_bytes": "spark.sql.optimizer.runtime.bloomFilter.maxNumBits",
+    "join_runtime_bloom_filter_bytes": "spark.sql.optimizer.runtime.bloomFilter.maxNumBits",
 }
-OWN_SETTINGS = {"extremes", "limit", "offset", "max_execution_time", "max_result_rows", "result_overflow_mode", "max_rows_to_read"}
+#: What a setting's value is multiplied by in Spark's unit.
+UNITS = {"join_runtime_bloom_filter_bytes": 8}
+OWN_SETTINGS = {"extremes", "totals_mode", "union_default_mode", "except_default_mode", "intersect_default_mode", "limit", "offset", "max_execution_time", "max_result_rows", "result_overflow_mode", "max_rows_to_read"}
+
+
+log = logging.getLogger("plumbline")
 
 
 class QueryError(Exception):
@@ -53,6 +61,7 @@ class Progress:
     elapsed_s: float = 0.0
     tasks: int = 0
     tasks_done: int = 0
+    read_bytes: int = 0
 
     @property
     def percent(self) -> int:
@@ -98,13 +107,37 @@ class QueryResult:
         return [_plain(r.asDict(recursive=True), big_as_text) for r in self.collect()]
 
     def batches(self) -> Iterator[Any]:
-        """Arrow batches, a partition at a time; leaving early ends the query."""
+        """Arrow batches, a partition at a time, under the query's tag and time limit; leaving early ends the query."""
+        import pyarrow as pa
+
+        schema = self.to_arrow_schema()
+        # The thread that runs its jobs takes the tag over from the one that starts it.
+        parts, ended = _chunks(self._run(self.data.toLocalIterator), 10_000), False
         try:
-            for row in _chunks(self.data.toLocalIterator(), 10_000):
-                yield row
+            while not ended:
+                part = self._run(lambda: next(parts, None))
+                ended = part is None
+                if not ended:
+                    yield pa.RecordBatch.from_pylist([r.asDict(recursive=True) for r in part], schema)
         finally:
             self.cancel()
 
+    def to_arrow_schema(self):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        return to_arrow_schema(self.data.schema)
+
+    def column(self, name: str) -> list[Any]:
+        """One column's values."""
+        return [r[0] for r in self._run(self.data.select(name).collect)]
+
+    def at(self, row: int, name: str) -> Any:
+        """A value by its row's place and its column."""
+        found = self._run(self.data.select(name).offset(row).limit(1).collect)
+        if not found:
+            raise IndexError(row)
+        return found[0][0]
+
     def write(self, format: str, path: str) -> None:
         self._run(lambda: formats.write(self.data, format, path))
 
@@ -125,11 +158,49 @@ class QueryResult:
             if timer:
                 timer.cancel()
             sc.removeJobTag(self.query_id)
-            self.progress.elapsed_s = time.time() - began
+            self.progress.elapsed_s += time.time() - began
+            self.update_progress()
         if isinstance(out, list):
-            self.progress.result_rows = len(out)
+            self.progress.result_rows += len(out)
         return out
 
+    def update_progress(self) -> Progress:
+        """Sums over the stages of the query's jobs so far, from Spark's own status store; it may be asked while a query runs."""
+        p, jsc = self.progress, self.spark.sparkContext._jsc.sc()
+        store, p.read_rows, p.read_bytes, p.tasks, p.tasks_done = jsc.statusStore(), 0, 0, 0, 0
+        stages = {s for job in jsc.statusTracker().getJobIdsForTag(self.query_id) for s in _scala_list(store.job(job).stageIds())}
+        for stage in stages:
+            try:
+                seen = store.lastStageAttempt(stage)
+            except Exception:  # a stage that was skipped has no attempt
+                continue
+            p.read_rows += seen.inputRecords()
+            p.read_bytes += seen.inputBytes()
+            p.tasks += seen.numTasks()
+            p.tasks_done += seen.numCompleteTasks()
+        return p
+
+
+def _scala_list(values) -> list[Any]:
+    return [values.apply(i) for i in range(values.size())]
+
+
+def parse_summary(text: str | None) -> Progress:
+    """The progress in a summary of JSON text; zeros where there is none, or where it can't be read."""
+    try:
+        said = json.loads(text or "{}")
+    except ValueError:
+        said = {}
+    said = said if isinstance(said, dict) else {}
+
+    def number(name: str) -> int:
+        try:
+            return int(said.get(name, 0))
+        except (TypeError, ValueError):
+            return 0
+
+    return Progress(number("read_rows"), number("result_rows"), number("elapsed_ns") / 1e9, read_bytes=number("read_bytes"))
+
 
 def _chunks(rows: Iterator[Row], size: int) -> Iterator[list[Row]]:
     part: list[Row] = []
@@ -161,11 +232,12 @@ class ExternalTable:
 
 class Engine:
     def __init__(self, spark: SparkSession, settings: dict[str, Any] | None = None):
-        self.spark, self.settings = spark, settings or {}
+        self.spark, self.settings, self.functions = spark, settings or {}, {}
 
     def query(self, sql: str, params: dict[str, Any] | None = None, external_tables: dict[str, Any] | None = None, settings: dict[str, Any] | None = None, query_id: str | None = None, timeout_s: float | None = None) -> QueryResult:
-        plan = rewrite(sql)
+        plan = rewrite(sql, {**self.settings, **(settings or {})})
         all_settings = {**self.settings, **(settings or {}), **plan.settings}
+        log.debug("query %s: %s", query_id or "", plan.sql)
         session = self._session(all_settings)
         query_id = query_id or uuid.uuid4().hex
         missing = set(plan.parameters) - set(params or {})
@@ -178,7 +250,7 @@ class Engine:
             data = session.sql(plan.sql, args=args) if args else session.sql(plan.sql)
             totals = None
             if plan.totals:
-                data, totals = with_totals(session, plan.sql, args)
+                data, totals = with_totals(session, plan.sql, args, str(all_settings.get("totals_mode", "after_having_exclusive")))
         except PySparkException as e:
             raise QueryError(e, query_id) from e
         before = data
@@ -199,26 +271,41 @@ class Engine:
         session = self.spark.newSession()
         session.conf.set("spark.sql.session.timeZone", "UTC")
         session.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+        for name, function in self.functions.items():
+            session.udf.register(name, function)
         for k, v in settings.items():
             if k in SETTINGS:
-                session.conf.set(SETTINGS[k], str(v))
+                session.conf.set(SETTINGS[k], str(int(v) * UNITS[k] if k in UNITS else v))
             elif k.startswith("spark."):
                 session.conf.set(k, str(v))
             elif k not in OWN_SETTINGS:
                 warnings.warn(f"setting {k} has no effect", stacklevel=3)
         return session
 
-    def insert(self, table: str, data: DataFrame | Iterable[dict[str, Any]], schema: list[tuple[str, str]] | None = None, batch_size: int = 10_000) -> int:
-        """Appends rows; objects are coerced to the table's types (schema: its column types, where Spark's don't say)."""
-        target = self.spark.table(table)
+    def insert(self, table: str, data: DataFrame | Iterable[Any], schema: list[tuple[str, str]] | None = None, batch_size: int = 10_000) -> int:
+        """Appends rows, and returns how many: a DataFrame, several of them, or objects, which are coerced to the table's types
+        (schema: its column types, where Spark's don't say) batch by batch."""
         if isinstance(data, DataFrame):
-            if schema is not None:
-                validate_schema(schema, [(f.name, f.metadata.get("src_type", "")) for f in data.schema.fields])
-            rows = data.select([c for c in target.columns if c in data.columns])
-        else:
-            columns = schema or [(f.name, f.metadata.get("src_type") or _own_type(f.dataType)) for f in target.schema.fields]
-            rows = from_objects(self.spark, columns, data)
-        rows = rows.select([F.col(c).cast(target.schema[c].dataType).alias(c) for c in rows.columns])
+            return self._insert_rows(table, data, schema)
+        total, held = 0, []
+        target = self.spark.table(table)
+        columns = schema or [(f.name, f.metadata.get("src_type") or _own_type(f.dataType)) for f in target.schema.fields]
+        for x in data:
+            if isinstance(x, DataFrame):
+                total += self._insert_rows(table, x, schema)
+                continue
+            held.append(x)
+            if len(held) == batch_size:
+                total += self._insert_rows(table, from_objects(self.spark, columns, held), None)
+                held = []
+        return total + (self._insert_rows(table, from_objects(self.spark, columns, held), None) if held else 0)
+
+    def _insert_rows(self, table: str, rows: DataFrame, schema: list[tuple[str, str]] | None) -> int:
+        target, seen = self.spark.table(table), Observation()
+        if schema is not None:
+            validate_schema(schema, [(f.name, f.metadata.get("src_type", "")) for f in rows.schema.fields])
+        rows = rows.select([F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns if c in rows.columns])
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
         view = f"_insert_{uuid.uuid4().hex}"
         rows.createOrReplaceTempView(view)
         try:
@@ -226,14 +313,23 @@ class Engine:
             self.spark.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
-        return rows.count()
+        return int(seen.get.get("n", 0))
+
+    def register(self, name: str, function, returns: str) -> None:
+        """A function for queries of this engine: a column function of pandas series, called on Arrow batches."""
+        self.functions[name] = F.pandas_udf(function, returns)
 
     def copy(self, source: str, target: str) -> None:
         self.spark.sql(f"INSERT INTO {target} SELECT * FROM {source}")
 
     def load_json_lines(self, path: str, table: str) -> None:
         """Loads a file of JSON lines into a table, by its schema."""
-        self.spark.read.schema(self.spark.table(table).schema).json(path).write.insertInto(table)
+        from .functions.types import parse as parse_type
+
+        target = self.spark.table(table)
+        columns = [(f.name, parse_type(f.metadata.get("src_type") or _own_type(f.dataType))) for f in target.schema.fields]
+        rows = formats.read(self.spark, path, "JSONEachRow", columns)
+        rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]).write.insertInto(table)
 
 
 def _own_type(t: T.DataType) -> str:
@@ -332,23 +428,10 @@ def in_session(df: DataFrame, session: SparkSession) -> DataFrame:
     return DataFrame(session._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session._jsparkSession, plan), session)
 
 
-def with_totals(spark: SparkSession, sql: str, args: dict[str, Any]) -> tuple[DataFrame, DataFrame]:
-    """The groups, and one row of totals over all of them, from one GROUP BY."""
-    import re
-
-    m = re.search(r"\bGROUP\s+BY\s+(.+?)(?=\s+(HAVING|ORDER\s+BY|LIMIT)\b|\s*$)", sql, re.I | re.S)
-    if not m:
-        raise ValueError("WITH TOTALS needs GROUP BY")
-    rest = re.sub(r"^\s*(ORDER\s+BY|LIMIT)\b.*", "", sql[m.end() :], flags=re.I | re.S)
-    grand = f"{sql[: m.start()]} GROUP BY GROUPING SETS (()) {rest}"
-    keys = [k.strip() for k in m[1].split(",")]
-    selected = re.match(r"\s*SELECT\s+(.*?)\s+FROM\b", grand, re.I | re.S)[1]
-    for k in keys:
-        selected = re.sub(rf"(?<![\w.(]){re.escape(k)}(?![\w.(])(?!\s*\))", f"CAST(NULL AS STRING) AS `{k}`" if re.fullmatch(r"\w+", k) else "NULL", selected)
-    grand = re.sub(r"(\s*SELECT\s+).*?(\s+FROM\b)", lambda x: x[1] + selected + x[2], grand, count=1, flags=re.I | re.S)
-    grand = re.sub(r"GROUP BY GROUPING SETS \(\(\)\)", "", grand)
-    run = lambda q: spark.sql(q, args=args) if args else spark.sql(q)
-    return run(sql), run(grand)
+def with_totals(spark: SparkSession, sql: str, args: dict[str, Any], mode: str = "after_having_exclusive") -> tuple[DataFrame, DataFrame]:
+    """The groups, and one row of totals; both have the same columns and types. mode: of the groups that HAVING keeps, or "before_having"."""
+    data, totals = ((spark.sql(q, args=args) if args else spark.sql(q)) for q in (sql, grand_total(sql, mode)))
+    return data, totals
 
 
 def fold_events(events: DataFrame) -> DataFrame:

@@ -143,3 +143,157 @@ def test_stream_equals_batch(spark):
     batch = spark.read.parquet(path).groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("start")).agg(F.count(F.lit(1)).alias("n"))
     streamed = run_to_end(spark, hourly(stream_of(spark, path))).select("start", "n")
     assert N.differences(batch, streamed) == (0, 0)
+
+
+BLOCK_TYPES = [
+    ("Int8", [-5, 0]), ("UInt8", [200, 0]), ("Int64", [-1234567890123, 1]), ("UInt64", [decimal.Decimal(9000000000000), decimal.Decimal(0)]), ("Float32", [1.25, 0.0]), ("Float64", [-1.25, 0.0]), ("Bool", [True, False]),
+    ("Int128", [str((1 << 127) - 1), "-1"]), ("UInt256", [str((1 << 256) - 1), "0"]), ("Date", [datetime.date(2024, 1, 15), datetime.date(1970, 1, 1)]), ("Date32", [datetime.date(1900, 1, 1), datetime.date(2024, 6, 30)]),
+    ("DateTime", [datetime.datetime(2024, 1, 15, 10, 30), datetime.datetime(1970, 1, 1)]), ("DateTime64(3)", [datetime.datetime(2024, 1, 15, 10, 30, 0, 123000), datetime.datetime(1969, 12, 31, 23, 59, 59)]), ("DateTime64(9)", [1700000000123456789, -1]),
+    ("String", ["hello", "é\n"]), ("FixedString(5)", [bytearray(b"hello"), bytearray(b"a\0\0\0\0")]), ("UUID", ["550e8400-e29b-41d4-a716-446655440000", C.NIL]), ("IPv4", ["192.168.0.1", "0.0.0.0"]),
+    ("IPv6", ["2001:0db8:0000:0000:0000:0000:0000:0001", ":".join(["0000"] * 8)]), ("Enum8('a' = 1, 'b' = 2)", ["b", "a"]), ("Enum16('a' = -300, 'b' = 2)", ["a", "b"]), ("Decimal(9, 2)", [decimal.Decimal("12.34"), decimal.Decimal("-0.01")]),
+    ("Decimal(38, 6)", [decimal.Decimal("12345.678901"), decimal.Decimal("-1.000000")]), ("Decimal(76, 10)", ["-1234567890.0123456789", "0.0000000000"]), ("Nullable(Int32)", [None, 3]), ("Nullable(String)", ["", None]), ("Array(Int32)", [[1, 2, 3], []]),
+    ("Array(Nullable(String))", [["a", None], []]), ("Map(String, Int32)", [{"a": 1, "b": 2}, {}]), ("Tuple(Int32, String)", [(7, "x"), (0, "")]), ("Tuple(x Int32, y Array(String))", [(7, ["x"]), (0, [])]), ("Nested(id Int32, name String)", [[(1, "a"), (2, "b")], []]),
+    ("LowCardinality(String)", ["active", "x"]), ("LowCardinality(Nullable(String))", [None, "x"]), ("Point", [(1.5, 2.5), (0.0, 0.0)]), ("Ring", [[(0.0, 0.0), (1.0, 0.0)], []]), ("MultiPolygon", [[[[(0.0, 1.0)]]], []]),
+]
+
+
+@pytest.mark.parametrize("kind,values", BLOCK_TYPES)
+def test_blocks_round_trip(spark, kind, values):
+    from plumbline.sources import blocks
+
+    columns = [("id", "UInt32"), ("v", kind)]
+    rows = list(enumerate(values))
+    data = blocks.encode(columns, rows)
+    found, back = blocks.decode(data)
+    assert found == [("id", "UInt32"), ("v", str(parse(kind)))] and back == rows
+    cut = [data[i : i + 7] for i in range(0, len(data), 7)]
+    assert [r for _, r in blocks.stream_decode(cut * 2)] == [rows, rows]
+    packed = spark.createDataFrame([(bytearray(data),)], "block binary")
+    got = {r["id"]: r["v"] for r in blocks.from_blocks(packed, columns).collect()}
+    plain = lambda v: tuple(map(plain, v)) if isinstance(v, (tuple, list)) else v
+    assert {i: plain(v) for i, v in got.items()} == {i: plain(v) for i, v in rows}
+
+
+def test_block_streams():
+    from plumbline.sources import blocks
+
+    columns = [("a", "Int8")]
+    assert b"".join(blocks.stream_encode(columns, [[(1,)], []])) == b"\1\1\1a\4Int8\1" + b"\1\0\1a\4Int8"
+    assert blocks.decode(b"\1\0\1a\4Int8") == ([("a", "Int8")], [])
+    assert list(blocks.stream_decode([b"\0\0", blocks.encode(columns, [(5,)])])) == [([("a", "Int8")], [(5,)])]
+    with pytest.raises(blocks.Truncated):
+        list(blocks.stream_decode([blocks.encode(columns, [(5,)])[:-1]]))
+    for method in ("none", "lz4", "zstd"):
+        frame = blocks.pack(b"abc" * 100, method)
+        assert blocks.unpack(frame) == b"abc" * 100
+        with pytest.raises(ValueError):
+            blocks.unpack(frame[:-1] + b"?")
+
+
+def test_random_tables(spark):
+    from plumbline.sources.random_data import random_structure, random_table
+
+    text = ", ".join(f"c{i} {k}" for i, (k, _) in enumerate(BLOCK_TYPES) if not k.startswith(("Nested", "Point", "Ring", "Multi", "Decimal(76")))
+    df = random_table(spark, text, 200, 4)
+    rows = df.collect()
+    assert rows == random_table(spark, text, 200, 4).collect() != random_table(spark, text, 200, 5).collect()
+    assert len({r["c3"] for r in rows}) > 190 and df.schema["c0"].metadata["src_type"] == "Int8"
+    assert random_structure(3, 7) == random_structure(3, 7) and len(structure(random_structure(None, 2))) >= 1
+
+
+def test_totals(spark):
+    engine = Engine(spark)
+    r = engine.query("SELECT number % 3 AS k, count() AS n FROM numbers(10) GROUP BY k WITH TOTALS HAVING count() < 4 ORDER BY k LIMIT 1")
+    assert [tuple(x) for x in r.collect()] == [(1, 3)] and [tuple(x) for x in r.totals.collect()] == [(None, 6)] and r.totals.dtypes == r.data.dtypes
+    r = engine.query("SELECT k, sum(n) AS s FROM (SELECT number % 2 AS k, number AS n FROM numbers(6) WHERE number > 0) d GROUP BY 1 WITH TOTALS")
+    assert [tuple(x) for x in r.totals.collect()] == [(None, 15)]
+    with pytest.raises(Exception):
+        engine.query("SELECT 1 WITH TOTALS")
+
+
+def test_progress_batches_columns(spark):
+    from plumbline.session import parse_summary
+
+    r = Engine(spark).query("SELECT number, toString(number) AS t FROM numbers(25000)")
+    parts = list(r.batches())
+    assert sum(p.num_rows for p in parts) == 25000 and parts[0].schema.names == ["number", "t"]
+    assert r.progress.tasks_done == r.progress.tasks > 0 and r.progress.percent == 100
+    few = Engine(spark).query("SELECT number FROM numbers(5)")
+    assert few.column("number") == [0, 1, 2, 3, 4] and few.at(3, "number") == 3 and few.progress.result_rows >= 5
+    assert parse_summary('{"read_rows": "7", "elapsed_ns": 2000000000, "result_rows": null}').read_rows == 7
+    assert parse_summary("not json").read_rows == parse_summary(None).result_rows == 0
+
+
+def test_text_faults(spark):
+    two = "id UInt32, s String"
+    rows = lambda data, form="TabSeparated": [tuple(r) for r in Engine(spark).query("SELECT * FROM t", external_tables={"t": ExternalTable(two, data, form)}).collect()]
+    assert rows("1\ta\\\\tb\n2\t\\tx\\n\n") == [(1, "a\\tb"), (2, "\tx\n")]
+    assert rows('1,"a\nb"\n2,"q""x"\n', "CSV") == [(1, "a\nb"), (2, 'q"x')]
+    one = Engine(spark).query("SELECT count() AS n FROM t", external_tables={"t": ExternalTable("s String", "a\n\nb\n")})
+    assert one.collect()[0]["n"] == 3
+
+
+def test_tab_separated_files(spark, tmp_path):
+    from plumbline.sources import formats
+
+    df = from_rows(spark, [("id", "UInt32"), ("s", "Nullable(String)")], [(1, "a\tb\\n\n"), (2, None), (3, "")])
+    for form in ("TSV", "TabSeparatedWithNames"):
+        formats.write(df, form, f"{tmp_path}/{form}")
+        assert sorted(map(tuple, formats.read(spark, f"{tmp_path}/{form}", form, structure("id UInt32, s Nullable(String)")).collect())) == [(1, "a\tb\\n\n"), (2, None), (3, "")]
+
+
+def test_strict_nested_values(spark):
+    assert one(spark, True, "Float64") == 1.0
+    assert one(spark, "2024-01-01 00:00:00.123456789", "DateTime64(9)") == 1704067200123456789
+    got = from_objects(spark, [("v", "Dynamic")], [{"v": 5}, {"v": {"a": 1}}, {"v": "x"}]).select(F.schema_of_variant("v").alias("k")).collect()
+    assert [r["k"] for r in got] == ["BIGINT", "OBJECT<a: BIGINT>", "STRING"]
+    ticks = spark.createDataFrame([(1700000000123456999,)], "t long").select(F.unix_micros(C.ticks_to_timestamp(F.col("t"), 9, closest=True)).alias("m"))
+    assert ticks.first()["m"] == 1700000000123456
+    with pytest.raises(Exception):
+        one(spark, {"a": 300}, "Map(String, Int8)")
+    assert one(spark, None, "Point") == (0.0, 0.0) and one(spark, None, "Ring") == [] and one(spark, None, "Nested(a Int8, b String)") == []
+
+
+def test_nested_keeps_nulls(spark):
+    df = spark.createDataFrame([(1, [3, 1]), (2, []), (3, None), (4, [None, 2])], "id int, a array<int>")
+    assert sorted(map(tuple, N.unflatten(N.flatten(df, "a"), ["id"], "a").collect())) == [(1, [3, 1]), (2, []), (3, None), (4, [None, 2])]
+    words = spark.createDataFrame([(1, "b"), (2, None), (3, "a"), (4, "b")], "id int, w string")
+    values, coded = N.dictionary_encode(words, "w")
+    assert sorted(map(tuple, coded.select("id", "code").collect())) == [(1, 1), (2, None), (3, 0), (4, 1)] and values.count() == 2
+    assert N.common_type(["UInt8", "Int16"]) == "Int16" and N.common_type(["UInt32", "Int8"]) == "Int64" and N.common_type(["Int8", "Nullable(Float32)"]) == "Nullable(Float64)"
+    assert N.common_type(["Int8", "String"]) == "Variant(Int8, String)" and N.common_type(["String", "String"]) == "String"
+
+
+def test_insert_batches(spark):
+    engine = Engine(spark)
+    spark.sql("CREATE TABLE ins3 (id BIGINT, name STRING) USING parquet")
+    parts = [from_rows(spark, [("id", "Int64"), ("name", "String")], [(i, "x")]) for i in range(3)]
+    assert engine.insert("ins3", parts) == 3
+    assert engine.insert("ins3", ({"id": i} for i in range(25)), batch_size=10) == 25 and spark.table("ins3").count() == 28
+    spark.sql("DROP TABLE ins3")
+
+
+def test_command_line(spark, tmp_path):
+    import json
+
+    from plumbline.__main__ import run
+
+    spark.sql("CREATE TABLE cli (id BIGINT, s STRING) USING parquet")
+    (tmp_path / "rows.jsonl").write_text('{"id": "7", "s": null}\n{"id": 8}\n')
+    said = []
+    failed = run(Engine(spark), [f"\\load {tmp_path}/rows.jsonl INTO cli", "SELECT number AS n FROM numbers(2) SETTINGS extremes = 1;", "SELECT nope", "\\q", "SELECT 1"], said.append)
+    said = [json.loads(x) for x in said]
+    assert failed == 1 and [x["type"] for x in said] == ["loaded", "header", "row", "row", "extremes", "progress", "exception"]
+    assert said[2]["row"] == {"n": 0} and sorted(map(tuple, spark.table("cli").collect())) == [(7, ""), (8, "")]
+    spark.sql("DROP TABLE cli")
+
+
+def test_streams_equal_batch(spark):
+    from plumbline.streaming.windows import distinct_events, run_to_end, sessions, stream_of
+
+    path = "/root/testdata/sf0.001/events.parquet"
+    batch = spark.read.parquet(path)
+    assert run_to_end(spark, distinct_events(stream_of(spark, path)), "append").count() == batch.select("event_id").distinct().count()
+    done = run_to_end(spark, sessions(stream_of(spark, path)), "append")
+    lost, made = N.differences(sessions(batch), done)
+    assert made == 0 and done.count() > 0
