@@ -237,7 +237,7 @@ class PlainScorer:
         mix = lambda x: int(mixed(np.array([x & (1 << 64) - 1], np.uint64))[0])
         for i, byte in enumerate(data):
             contexts = []
-            for back in range(2, 5):
+            for back in range(3, 5):
                 before = sum(data[i - k] << 8 * (k - 1) for k in range(1, back + 1) if i >= k)
                 contexts.append(mix(before + (back << 40)) >> 32)
             contexts.append(prefix >> 32)
@@ -249,9 +249,9 @@ class PlainScorer:
         return total
 
     def path(self, leaf, klass, last, both):
-        book, total, node, root = self.book, 0.0, leaf, len(self.book.parent) - 1
+        book, total, node, root = self.book, 0.0, leaf, len(self.book.up) - 1
         while node != root:
-            side, node = int(book.side[node]), int(book.parent[node])
+            side, node = int(book.up[node]) & 1, int(book.up[node]) >> 1
             inner = node - len(book.hashes) - 2
             spread = inner * 0x9E3779B1 & 0xFFFFFFFF
             slots = [klass * (self.m.CODED + 2) + inner] + [(((c ^ spread) * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - b)) + int(at) for c, b, at in zip((last, both), self.m.WORD_BITS, self.m._WORD_AT, strict=False)]
