@@ -39,7 +39,7 @@ def param_filter(spark, sf_dir):
     return out.data
 
 
-@query("SELECT u.name AS name, round(sum(s.amount), 1) AS total FROM (VALUES (1, 'Alice'), (2, 'Bob')) u(id, name) JOIN (VALUES (1, 10.5), (1, 15.5), (2, 20.0)) s(id, amount) ON u.id = s.id GROUP BY u.name ORDER BY name")
+@query("SELECT u.name AS name, CAST(round(sum(s.amount), 1) AS DOUBLE) AS total FROM (VALUES (1, 'Alice'), (2, 'Bob')) u(id, name) JOIN (VALUES (1, 10.5), (1, 15.5), (2, 20.0)) s(id, amount) ON u.id = s.id GROUP BY u.name ORDER BY name")
 def external_tables(spark, sf_dir):
     from ..session import ExternalTable, from_rows
 
