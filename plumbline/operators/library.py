@@ -137,6 +137,16 @@ def with_totals(spark, sf_dir):
     return r.data.unionByName(r.totals)
 
 
+@query("""SELECT event_id, (k IS NULL OR k IN (1, 3)) AS listed, k IS NOT NULL AND k NOT IN (1, 3) AS unlisted, (k IS NOT DISTINCT FROM event_id % 5 OR k IS NULL) AS computed
+          FROM (SELECT event_id, nullif(event_id % 7, 0) AS k FROM events) e WHERE k IS NULL OR k IN (SELECT n_regionkey FROM nation WHERE n_regionkey <> 1)""")
+def null_in(spark, sf_dir):
+    """IN and NOT IN where null equals null: lists of literals, lists of expressions, and a statement's rows."""
+    sql = """SELECT event_id, k IN (1, NULL, 3) AS listed, k NOT IN (1, NULL, 3) AS unlisted, k IN (event_id % 5, NULL) AS computed
+             FROM (SELECT event_id, nullif(event_id % 7, 0) AS k FROM events) e
+             WHERE k IN (SELECT nullif(n_regionkey, 1) FROM nation) SETTINGS transform_null_in = 1"""
+    return engine_query(spark, sf_dir, sql, "events", "nation").data
+
+
 @query("""WITH k AS (SELECT year(o_orderdate) AS y FROM orders GROUP BY 1 HAVING count(*) > (SELECT count(*) / 8 FROM orders))
           SELECT NULL::BIGINT AS y, CAST(count(*) AS BIGINT) AS n FROM orders WHERE year(o_orderdate) IN (SELECT y FROM k)""")
 def totals_having(spark, sf_dir):

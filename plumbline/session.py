@@ -32,7 +32,7 @@ SETTINGS = {
 }
 #: What a setting's value is multiplied by in Spark's unit.
 UNITS = {"join_runtime_bloom_filter_bytes": 8}
-OWN_SETTINGS = {"extremes", "totals_mode", "union_default_mode", "except_default_mode", "intersect_default_mode", "limit", "offset", "max_execution_time", "max_result_rows", "result_overflow_mode", "max_rows_to_read"}
+OWN_SETTINGS = {"extremes", "totals_mode", "union_default_mode", "except_default_mode", "intersect_default_mode", "limit", "offset", "max_execution_time", "max_result_rows", "result_overflow_mode", "max_rows_to_read", "transform_null_in"}
 
 
 log = logging.getLogger("plumbline")
@@ -145,25 +145,43 @@ class QueryResult:
         self.spark.sparkContext.cancelJobsWithTag(self.query_id)
 
     def _run(self, action):
-        sc, began, timer = self.spark.sparkContext, time.time(), None
+        sc, began, timer, most = self.spark.sparkContext, time.time(), None, int(self.settings.get("max_rows_to_read") or 0)
         if self.timeout_s:
             timer = threading.Timer(self.timeout_s, self.cancel)
             timer.start()
+        ended = threading.Event()
+        if most:
+            threading.Thread(target=self._guard, args=(most, ended), daemon=True).start()
         sc.addJobTag(self.query_id)
+        failed = None
         try:
             out = action()
         except Exception as e:
-            raise QueryError(e, self.query_id) from e
+            failed = e
         finally:
+            ended.set()
             if timer:
                 timer.cancel()
             sc.removeJobTag(self.query_id)
             self.progress.elapsed_s += time.time() - began
+            if most:
+                sc._jsc.sc().listenerBus().waitUntilEmpty()
             self.update_progress()
+        if most and self.progress.read_rows > most:
+            raise QueryError(OverflowError(f"more than {most} rows were read"), self.query_id) from failed
+        if failed:
+            raise QueryError(failed, self.query_id) from failed
         if isinstance(out, list):
             self.progress.result_rows += len(out)
         return out
 
+    def _guard(self, most: int, ended: threading.Event) -> None:
+        """Ends the query soon after it has read too many rows."""
+        while not ended.wait(0.5):
+            if self.update_progress().read_rows > most:
+                self.cancel()
+                return
+
     def update_progress(self) -> Progress:
         """Sums over the stages of the query's jobs so far, from Spark's own status store; it may be asked while a query runs."""
         p, jsc = self.progress, self.spark.sparkContext._jsc.sc()

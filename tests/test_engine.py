@@ -297,3 +297,39 @@ def test_streams_equal_batch(spark):
     done = run_to_end(spark, sessions(stream_of(spark, path)), "append")
     lost, made = N.differences(sessions(batch), done)
     assert made == 0 and done.count() > 0
+
+
+NULL_IN = [
+    ("SELECT x IN (1, NULL) FROM t", [True, True, False]), ("SELECT x NOT IN (1, NULL) FROM t", [False, False, True]), ("SELECT x IN (1) FROM t", [True, False, False]),
+    ("SELECT x + 1 IN (2, 3) FROM t", [True, False, True]), ("SELECT (x, y) IN ((1, 'a'), (NULL, NULL)) FROM t", [True, True, False]), ("SELECT CASE WHEN y = 'b' THEN x END IN (2) FROM t", [False, False, True]),
+    ("SELECT coalesce(t.y, 'none') IN ('a', 'none') AND t.x IN (NULL) FROM t", [False, True, False]), ("SELECT x IN (x * 1, 5) FROM t", [True, True, True]), ("SELECT 'x IN (1)' IN ('x IN (1)') FROM t", [True] * 3),
+]
+
+
+@pytest.mark.parametrize("sql,expected", NULL_IN)
+def test_null_in(spark, sql, expected):
+    t = spark.createDataFrame([(1, "a"), (None, None), (2, "b")], "x int, y string").coalesce(1)
+    got = Engine(spark, {"transform_null_in": 1}).query(sql, external_tables={"t": t}).collect()
+    assert [r[0] for r in got] == expected
+
+
+def test_null_in_of_a_query(spark):
+    t = spark.createDataFrame([(1, "a"), (None, None), (2, "b"), (2, None)], "x int, y string")
+    engine = Engine(spark, {"transform_null_in": 1})
+
+    def rows(condition):
+        return sorted((str(r[0]), str(r[1])) for r in engine.query(f"SELECT x, y FROM t WHERE {condition}", external_tables={"t": t}).collect())
+
+    assert rows("x IN (SELECT x FROM t WHERE x IS NULL)") == [("None", "None")]
+    assert rows("(x, y) NOT IN (SELECT x, y FROM t WHERE y IN ('a', NULL))") == [("2", "b")]
+    plan = engine.query("SELECT y FROM t WHERE x IN (SELECT x FROM t)", external_tables={"t": t}).data._jdf.queryExecution().toString()
+    assert "LeftSemi" in plan and "NestedLoop" not in plan
+    assert rewrite("SELECT x IN (1, NULL)").sql == "SELECT x IN (1, NULL)"
+
+
+def test_most_rows_to_read(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    assert Engine(spark, {"max_rows_to_read": 1000}).query("SELECT sum(id) AS s FROM t", external_tables={"t": t}).collect()[0]["s"] == 499500
+    with pytest.raises(QueryError, match="more than 999 rows were read"):
+        Engine(spark, {"max_rows_to_read": 999}).query("SELECT sum(id) AS s FROM t", external_tables={"t": t}).collect()
