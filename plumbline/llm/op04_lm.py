@@ -6,8 +6,8 @@ space at its end. Each bit is predicted by several hashed contexts: of a path's
 the last word, and the last two; of a byte's bit the last 3 and 4 bytes and all of the word so far. A predictor
 is a pair of counts, of zeros and ones, in a hash table of fixed size, which all training texts are counted in (spelled
 words once each). The predictions are combined in the logistic domain by weights that a gate (how much the two longest contexts have seen)
-selects, and a probability map refines the result; a task learns both online, each bit predicted from what the task has
-counted before, on every LEARNED-th text and spelled word, and the tasks' results are averaged.
+selects, and a probability map refines the result; a task learns both online from every bit that it counts, each predicted
+from what the task has counted before, and the tasks' results are averaged by how many bits they saw.
 
 While a text is scored, two things adapt to it: the class of text, which the words before a token decide, and a cache of
 the text's own earlier tokens, which is mixed in by a share that depends on how many there are. A text's bits per byte
@@ -48,8 +48,8 @@ WORD_SLOTS, BYTE_SLOTS = (-(-int(at[-1]) // BLOCK) * BLOCK for at in (_WORD_AT,
 #: A gate's steps of a context's count; buckets of the map; buckets of a text's length for the cache's share.
 STEPS, BUCKETS, AGES = np.array([1, 4, 32]), 49, 24
 GATES = (len(STEPS) + 1) ** 2
-#: Weights are learned from one in so many texts and words, by their hashes. Bits that weights are updated after.
-LEARNED, STEP_BITS = 32, 1 << 13
+#: Bits that weights are updated after.
+STEP_BITS = 1 << 13
 #: Distinct words that a task counts before it hands them on; words that a worker keeps spellings' scores of.
 HELD, CACHE = 1_000_000, 200_000
 #: Bytes of texts that a task makes tokens of at a time; tokens that are looked at together, and bits that a task counts before it hands its counts on.
@@ -88,73 +88,84 @@ class Mixer:
     def bits(self, packed: list[np.ndarray], ones: np.ndarray) -> np.ndarray:
         """log probabilities of bits; packed: each context's slots of a model's table."""
         gate = ((packed[-2] & 3) * np.int16(len(STEPS) + 1) + (packed[-1] & 3)).astype(np.intp)
-        dot = self.weights[0][gate] * (packed[0] >> 2)
+        dot = self.weights[0].take(gate) * (packed[0] >> 2)
         for k in range(1, len(packed)):
-            dot += self.weights[k][gate] * (packed[k] >> 2)
+            dot += self.weights[k].take(gate) * (packed[k] >> 2)
         dot *= np.float32(1 / 256)
         low, part = _bucket(dot)
         low += gate * BUCKETS
         flat = self.map_.reshape(-1)
-        p = flat[low]
-        p += (flat[low + 1] - p) * part
+        p = flat.take(low)
+        p += (flat.take(low + 1) - p) * part
         return np.log(np.abs(p - (1 - ones).astype(np.float32)))
 
 
 class Learner:
-    """A task's counts of one kind of bits, and the weights and the map that it learns online."""
+    """A task's counts of one kind of bits, and the weights and the map that it learns online, from every bit."""
 
     def __init__(self, slots: int, contexts: int):
-        self.counts = np.zeros(2 * slots, np.uint32)
+        # A slot's zeros and ones share a cell, so that one gather brings both.
+        self.counts = np.zeros((slots, 2), "<u4")
+        self.cells = self.counts.reshape(-1).view("<u8")
         self.slots, self.counted = slots, 0
-        self.weights = np.full((GATES, contexts), 1.2 / contexts, np.float32)
-        self.squares = np.full((GATES, contexts), 1e-2)
-        self.seen = np.zeros(GATES)
-        self.hits, self.total = np.zeros((GATES, BUCKETS)), np.zeros((GATES, BUCKETS))
-
-    def count(self, slots: list[np.ndarray], ones: np.ndarray) -> None:
-        side = ones * self.slots
-        for s in slots:
-            np.add.at(self.counts, s + side, np.uint32(1))
-        self.counted += len(ones)
+        self.weights = np.full((contexts, GATES), 1.2 / contexts, np.float32)
+        self.squares = np.full((contexts, GATES), 1e-2)
+        # Bits, and their shares of the next bucket, by gate, bucket and value.
+        self.bits, self.shares = np.zeros((2, GATES * BUCKETS * 2))
 
     def learn(self, slots: list[np.ndarray], ones: np.ndarray) -> np.ndarray:
-        """log probabilities of bits before they are counted; the weights and the map learn from each STEP_BITS of them."""
-        out = np.zeros(len(ones), np.float32)
+        """log probabilities of bits before they are counted; the weights and the map learn from each STEP_BITS of them, then they are counted."""
+        out = np.empty(len(ones), np.float32)
         for at in range(0, len(ones), STEP_BITS):
             part = slice(at, at + STEP_BITS)
-            one = ones[part].astype(np.float32)
-            z, o = ([self.counts[s[part] + side].astype(np.float32) for s in slots] for side in (0, self.slots))
-            st = np.stack([_stretch(a, b) for a, b in zip(z, o, strict=True)], 1)
-            gate = _step(z[-2] + o[-2]) * (len(STEPS) + 1) + _step(z[-1] + o[-1])
-            dot = np.einsum("ij,ij->i", self.weights[gate], st)
-            p = np.clip(_squash(dot), 1e-6, 1 - 1e-6)
-            out[part] = np.log(np.where(ones[part] == 1, p, 1 - p))
-            error = one - p
-            for k in range(len(slots)):
-                step = np.bincount(gate, error * st[:, k], GATES)
-                self.squares[:, k] += step * step
-                self.weights[:, k] += 0.1 * step / np.sqrt(self.squares[:, k])
-            self.seen += np.bincount(gate, minlength=GATES)
+            one, own = ones[part], [s[part] for s in slots]
+            st, gate = [], 0
+            for k, s in enumerate(own):
+                seen = self.cells.take(s).view("<u4").astype(np.float32)
+                seen += np.float32(0.4)
+                st.append(np.log(seen[1::2] / seen[::2]))
+                if k >= len(own) - 2:
+                    total = seen[::2] + seen[1::2]  # 0.8 more than the count
+                    gate = gate * np.int8(len(STEPS) + 1) + sum((total > np.float32(step + 0.3)).view(np.int8) for step in STEPS)
+            gate = gate.astype(np.intp)
+            dot = self.weights[0].take(gate) * st[0]
+            for k in range(1, len(own)):
+                dot += self.weights[k].take(gate) * st[k]
+            sign = (2 * one - 1).astype(np.float32)
+            error = 1 / (1 + np.exp(np.clip(sign * dot, np.float32(-13.8), np.float32(13.8))))
+            out[part] = np.log1p(-error)
+            error *= sign
+            for k in range(len(own)):
+                step = np.bincount(gate, error * st[k], GATES)
+                self.squares[k] += step * step
+                self.weights[k] += 0.1 * step / np.sqrt(self.squares[k])
             low, rest = _bucket(dot)
-            for b, share in ((low, 1 - rest), (low + 1, rest)):
-                self.total += np.bincount(gate * BUCKETS + b, share, GATES * BUCKETS).reshape(GATES, BUCKETS)
-                self.hits += np.bincount(gate * BUCKETS + b, share * one, GATES * BUCKETS).reshape(GATES, BUCKETS)
+            cell = (gate * BUCKETS + low) * 2 + one
+            self.bits += np.bincount(cell, minlength=len(self.bits))
+            self.shares += np.bincount(cell, rest, len(self.bits))
+            more = np.where(one == 1, np.uint64(1 << 32), np.uint64(1))
+            for s in own:
+                np.add.at(self.cells, s, more)
+        self.counted += len(ones)
         return out
 
     def blocks(self, first: int) -> Iterator[pa.RecordBatch]:
         """(block, zeros, ones) of each block that has any counts, in as few bytes as they need; then all are 0 again."""
-        sides = self.counts.reshape(2, -1)
         for at in range(0, self.slots, BLOCK):
-            part = sides[:, at : at + BLOCK]
+            part = self.counts[at : at + BLOCK]
             if part.any():
-                part = part.astype(np.uint16) if part.max() < 1 << 16 else part
+                part = (part.astype(np.uint16) if part.max() < 1 << 16 else part).T
                 yield pa.RecordBatch.from_pydict({"block": pa.array([first + at // BLOCK], pa.int32()), "zeros": [part[0].tobytes()], "ones": [part[1].tobytes()]})
         self.counts[:] = 0
         self.counted = 0
 
     def state(self, block: int, more: np.ndarray) -> pa.RecordBatch:
         """What was learned, as a row of its own: sums that tasks' rows can be added up to."""
-        sums = np.concatenate([(self.weights * self.seen[:, None]).ravel(), self.seen, self.hits.ravel(), self.total.ravel(), more])
+        bits, shares = (x.reshape(GATES, BUCKETS, 2) for x in (self.bits, self.shares))
+        shared = bits - shares
+        shared[:, 1:] += shares[:, :-1]
+        hits, total, seen = shared[:, :, 1], shared.sum(2), bits.sum((1, 2))
+        sums = np.concatenate([(self.weights.T * seen[:, None]).ravel(), seen, hits.ravel(), total.ravel(), more])
         return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "zeros": [sums.tobytes()], "ones": [b""]})
 
 
@@ -312,13 +323,16 @@ class Tokens:
 
     def cached(self) -> np.ndarray:
         """log of each token's share of the text's earlier tokens; ends, and what hasn't come, have none."""
-        key = mixed(self.hash ^ (self.text.astype(np.uint64) << np.uint64(32)))
-        order = np.argsort(key, kind="stable")
-        sorted_ = key[order]
-        first = np.concatenate([[True], sorted_[1:] != sorted_[:-1]])
-        run = np.arange(len(key))
-        rank = np.empty(len(key), np.int64)
-        rank[order] = run - np.maximum.accumulate(np.where(first, run, 0))
+        # Sorted by distinct word and place: a run of one word in one text is its occurrences in order.
+        places = np.arange(len(self.code))
+        bits = len(places).bit_length()
+        sorted_ = np.sort((self.code << bits) | places)
+        code, place = sorted_ >> bits, sorted_ & ((1 << bits) - 1)
+        text = self.text[place]
+        first = np.ones(len(places), bool)
+        first[1:] = (code[1:] != code[:-1]) | (text[1:] != text[:-1])
+        rank = np.empty(len(places), np.int64)
+        rank[place] = places - np.maximum.accumulate(np.where(first, places, 0))
         with np.errstate(divide="ignore", invalid="ignore"):
             return np.where((rank > 0) & (self.code < len(self.words)), np.log(rank / np.maximum(1, self.age)), -np.inf)
 
@@ -352,7 +366,7 @@ class Model:
             word, bits = byte_bits(some)
             total = np.zeros(len(word), np.float32)
             for ones, slots in bits:
-                total += self.bytes.bits([self.table[s + WORD_SLOTS] for s in slots], ones)
+                total += self.bytes.bits([self.table.take(s + WORD_SLOTS) for s in slots], ones)
             out[at : at + len(some)] = np.bincount(word, total, len(some))
         return out
 
@@ -363,7 +377,7 @@ class Model:
             order, levels = self.book.paths(tokens, slice(first, min(first + CHUNK, len(out))))
             total = np.zeros(len(order), np.float32)
             for ones, slots in levels:
-                total[: len(ones)] += self.words.bits([self.table[s] for s in slots], ones)
+                total[: len(ones)] += self.words.bits([self.table.take(s) for s in slots], ones)
             out[order] = total
         return out
 
@@ -406,28 +420,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count_paths(shared):
-    """Counts of the bits of coded tokens, from texts (learn, text); learn: whether weights are learned from it."""
+    """Counts of the bits of coded tokens, and what is learned from them, from texts (text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book: Codebook = shared.value
         learner, ages = Learner(WORD_SLOTS, 1 + len(WORD_BITS)), np.zeros((2, AGES))
         share = np.full(AGES, 0.05)
         for whole in batches:
-            for batch in slices(whole, 1, SLICE):
+            for batch in slices(whole, 0, SLICE):
                 if not batch.num_rows:
                     continue
-                tokens = Tokens.of(batch.column(1), book)
-                wanted = batch.column(0).to_numpy(zero_copy_only=False)[tokens.text]
-                log_p, cached, of_age = np.zeros(len(wanted)), tokens.cached(), tokens.ages()
-                for first in range(0, len(wanted), CHUNK):
-                    order, levels = book.paths(tokens, slice(first, min(first + CHUNK, len(wanted))))
-                    some = wanted[order]
+                tokens = Tokens.of(batch.column(0), book)
+                log_p, cached, of_age = np.zeros(len(tokens.code)), tokens.cached(), tokens.ages()
+                for first in range(0, len(log_p), CHUNK):
+                    order, levels = book.paths(tokens, slice(first, min(first + CHUNK, len(log_p))))
+                    total = np.zeros(len(order), np.float32)
                     for ones, slots in levels:
-                        own = np.flatnonzero(some[: len(ones)])
-                        if len(own):
-                            log_p[order[own]] += learner.learn([s[own] for s in slots], ones[own])
-                        learner.count(slots, ones)
-                old = wanted & (tokens.age > 0)
+                        total[: len(ones)] += learner.learn(slots, ones)
+                    log_p[order] = total
+                old = tokens.age > 0
                 log_p[tokens.leaf == book.escape] += SPELLED
                 odds = np.log(share / (1 - share))[of_age[old]] + cached[old] - log_p[old]
                 ages[0] += np.bincount(of_age[old], _squash(odds), AGES)
@@ -442,17 +453,13 @@ def _count_paths(shared):
 
 
 def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the bits of words that are spelled, each distinct one once, from rows (word)."""
+    """Counts of the bits of words that are spelled, each distinct one once, and what is learned from them, from rows (word)."""
     learner = Learner(BYTE_SLOTS, len(BYTE_BITS))
     for batch in batches:
         for at in range(0, batch.num_rows, CHUNK):
-            some = batch.column(0).slice(at, CHUNK)
-            wanted = word_hashes(some) % np.uint64(LEARNED) == 0
-            word, bits = byte_bits(some.to_pylist())
-            own = np.flatnonzero(wanted[word])
+            _, bits = byte_bits(batch.column(0).slice(at, CHUNK).to_pylist())
             for ones, slots in bits:
-                learner.learn([s[own] for s in slots], ones[own])
-                learner.count(slots, ones)
+                learner.learn(slots, ones)
             if learner.counted > MOST_BITS:
                 yield from learner.blocks(WORD_SLOTS // BLOCK)
     yield from learner.blocks(WORD_SLOTS // BLOCK)
@@ -528,7 +535,7 @@ def make_codebook(words: DataFrame, tokens: int, texts: np.ndarray) -> tuple[Cod
 
 
 def learn_model(training: DataFrame, words: DataFrame, book: Codebook, least: int) -> Model:
-    """The model of training texts (learn, text); words: their counts. Tables of fixed size come to the driver."""
+    """The model of training texts (text); words: their counts. Tables of fixed size come to the driver."""
     spark = training.sparkSession
     shared = spark.sparkContext.broadcast(book)
     few = max(1, 2 * spark.sparkContext.defaultParallelism)
@@ -609,8 +616,7 @@ def learn(training: DataFrame, classes: list[int]) -> tuple[DataFrame, int, int,
     words = learn_words(training.select("text", "class"))
     totals = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     book, least = make_codebook(words, totals["n"] or 0, np.array(classes, float))
-    chosen = F.pmod(F.xxhash64("text"), F.lit(LEARNED)) == 0
-    return words, totals["n"] or 0, totals["v"], learn_model(training.select(chosen.alias("learn"), "text"), words, book, least)
+    return words, totals["n"] or 0, totals["v"], learn_model(training.select("text"), words, book, least)
 
 
 def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text: str = "text", class_col: str | None = None) -> DataFrame:

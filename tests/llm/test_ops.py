@@ -317,6 +317,68 @@ def test_lm_probabilities_sum_to_one(spark, sf):
         assert math.isclose(sum(math.exp(plain.spelled(start + bytes([k])) - plain.spelled(start)) for k in range(256)), 1, rel_tol=1e-6)
 
 
+def test_lm_learns_from_all(spark, sf, texts, monkeypatch):
+    """Weights, maps and the cache's share are learned from every bit and token of all texts and spelled words."""
+    from plumbline.llm import op04_lm as m
+
+    sums, mixer = [], m._mixer
+    monkeypatch.setattr(m, "_mixer", lambda *a: sums.append(a) or mixer(*a))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.coalesce("text", F.lit("")).alias("text"), F.lit(0).alias("class"))
+    plain = PlainScorer(m.learn(docs, [docs.count()])[3])
+    book, tokens = plain.book, [lm_tokens(t) for t in texts]
+    coded = lambda w: plain.leaf.get(plain.of(w), book.escape) if w is not None else book.end
+    path_bits = sum(int(book.depth[coded(w)]) for t in tokens for w in t)
+    spelled = {w for t in tokens for w in t if w is not None and coded(w) == book.escape}
+    byte_bits = sum(8 * (len(w.encode()) + 1) for w in spelled)
+    assert path_bits > 10_000 and byte_bits > 300
+    for (state, contexts), bits in zip(sums, (path_bits, byte_bits), strict=True):
+        _, seen, hits, total, more = m.np.split(state, m.np.cumsum([m.GATES * contexts, m.GATES, m.GATES * m.BUCKETS, m.GATES * m.BUCKETS]))
+        assert seen.sum() == bits and math.isclose(total.sum(), bits, rel_tol=1e-6) and 0 < hits.sum() < bits
+        if len(more):
+            assert more[m.AGES :].sum() == sum(len(t) - 1 for t in tokens)
+
+
+def test_lm_learner_by_hand():
+    """A bit is predicted from what was counted before it; the counts and the map's shares are those of plain loops."""
+    from plumbline.llm import op04_lm as m
+
+    np, rng, steps = m.np, m.np.random.default_rng(5), 70
+    learner, counts = m.Learner(m.BLOCK, 3), np.zeros((m.BLOCK, 2), int)
+    weights, squares = np.full((m.GATES, 3), 0.4), np.full((m.GATES, 3), 1e-2)
+    hits, total = np.zeros((m.GATES, m.BUCKETS)), np.zeros((m.GATES, m.BUCKETS))
+    for _ in range(steps):
+        slots, ones = [rng.integers(0, n, 20) for n in (3, 40, 400)], rng.integers(0, 4, 20) // 3
+        got, gates, sts = learner.learn(slots, ones), [], []
+        for i, one in enumerate(ones.tolist()):
+            cells = [counts[s[i]] for s in slots]
+            st = np.array([math.log((o + 0.4) / (z + 0.4)) for z, o in cells])
+            step = [sum(int(z + o) >= x for x in (1, 4, 32)) for z, o in cells]
+            gates.append(step[1] * 4 + step[2])
+            sts.append(st)
+            dot = float(weights[gates[-1]] @ st)
+            p = 1 / (1 + math.exp(-dot))
+            assert math.isclose(got[i], math.log(p if one else 1 - p), rel_tol=1e-2, abs_tol=1e-3)
+            x = dot * 2 + m.BUCKETS // 2
+            for b, share in ((int(x), 1 - x + int(x)), (int(x) + 1, x - int(x))):
+                total[gates[-1], b] += share
+                hits[gates[-1], b] += share * one
+        error = ones - np.array([1 / (1 + math.exp(-float(weights[g] @ st))) for g, st in zip(gates, sts, strict=True)])
+        step = np.zeros((m.GATES, 3))
+        np.add.at(step, gates, error[:, None] * np.array(sts))
+        squares += step * step
+        weights += 0.1 * step / np.sqrt(squares)
+        for s in slots:
+            np.add.at(counts, (s, ones), 1)
+    assert (learner.counts == counts).all() and learner.counted == 20 * steps
+    state = np.frombuffer(learner.state(0, np.zeros(0)).column(1)[0].as_py())
+    w, seen, h, t = np.split(state, np.cumsum([m.GATES * 3, m.GATES, m.GATES * m.BUCKETS]))
+    assert seen.sum() == 20 * steps and (seen == total.sum(1).round(6)).all()
+    assert np.allclose(w.reshape(m.GATES, 3), weights * seen[:, None], rtol=1e-2, atol=1e-2)
+    assert np.allclose(h, hits.ravel(), rtol=1e-2, atol=0.05) and np.allclose(t, total.ravel(), rtol=1e-2, atol=0.05)
+    (block,) = learner.blocks(0)
+    assert (np.stack([np.frombuffer(block.column(k)[0].as_py(), np.uint16) for k in (1, 2)], 1) == counts).all() and not learner.counts.any()
+
+
 def test_mixing(spark, sf, texts):
     from plumbline.llm.op05_mixing import mix, op5_mixing
 
