@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .common import written
-from .shingles import WORDS, distinct, flat_words, slices
+from .shingles import FEW_BYTES, WORDS, distinct, flat_words, slices, sparing
 
 #: Words of a half passage (a passage is two that follow each other), and of an item's segment.
 HALF, SEGMENT = 64, 64
@@ -278,9 +278,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", thresho
     for index in _indexes(items, None):
         shared = spark.sparkContext.broadcast(index)
 
+        @sparing
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for batch in slices(whole, place):
+                for batch in slices(whole, place, FEW_BYTES):
                     flat, offsets = norm_words(batch.column(place))
                     rows = verify(shared.value, flat, offsets, candidates(shared.value, flat, offsets, threshold), overlap)
                     good = np.ones(batch.num_rows, bool)

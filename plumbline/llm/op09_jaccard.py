@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import forget, released, written
 from .components import components
-from .shingles import shingle_sets, slices
+from .shingles import FEW_BYTES, shingle_sets, slices, sparing
 
 #: Similarity in hundredths.
 PERCENT = 80
@@ -58,6 +58,7 @@ def least_overlap(n, m):
     return (PERCENT * (n + m) + 99 + PERCENT) // (100 + PERCENT)
 
 
+@sparing
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Prefix shingles that come in many of a task's texts."""
     counts: Counter = Counter()
@@ -123,10 +124,11 @@ def set_id(s: np.ndarray) -> int:
 
 
 def _features(shared):
+    @sparing
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, FEW_BYTES):
                 sets = shingle_sets(batch.column(1))
                 keys = pa.array([_prefix(s, frequent).view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64()))
                 points = pa.array([_point(s) if len(s) else None for s in sets], pa.binary())
@@ -165,6 +167,7 @@ def _shared_bit(keys: np.ndarray) -> np.ndarray:
 def _shared(shared):
     """(key, sid) of the first shingles, lists in column keys, whose bits are in the filter."""
 
+    @sparing
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
@@ -179,12 +182,13 @@ def _shared(shared):
 def _wanted(shared):
     """(sid, text) of the texts whose id's bit is in the filter; a text's bit is in column 1, the text in 2."""
 
+    @sparing
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for whole in batches:
             bit = whole.column(1).to_numpy()
             wanted = whole.filter(pa.array(_is_set(bits, bit)))
-            for batch in slices(wanted, 2):
+            for batch in slices(wanted, 2, FEW_BYTES):
                 ids = [set_id(s) if len(s) else None for s in shingle_sets(batch.column(2))]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), batch.column(2)], ["sid", "text"])
 
@@ -304,6 +308,7 @@ def _points(table: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
 
 
+@sparing
 def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the rows of each block pair those that have a partner in it by the R-trees' bounds, without their vectors.
 
@@ -391,6 +396,7 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
+@sparing
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, null) for a spanning forest of each block pair's links, and (a, null, n): a has n links to rows there.
 
@@ -400,7 +406,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends: list[tuple[np.ndarray, np.ndarray]] = []
         counts = np.zeros(table.num_rows, np.int64)
         sid, n, copies, side, leader = (table.column(c).to_numpy() for c in ("sid", "n", "copies", "side", "leader"))
-        sets = [s for part in slices(table.select(["text"]).to_batches()[0], 0) for s in shingle_sets(part.column(0))]
+        sets = [s for part in slices(table.select(["text"]).to_batches()[0], 0, FEW_BYTES) for s in shingle_sets(part.column(0))]
         leaders = table.column("leaders").combine_chunks()
         for start, stop in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             if stop - start > 1:

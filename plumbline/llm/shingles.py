@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -83,3 +87,21 @@ def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20):
         stop = max(at + 1, int(np.searchsorted(ends, base + most_bytes, side="right")))
         yield batch.slice(at, stop - at)
         at = stop
+
+
+#: Bytes of texts that a task works on at a time where several steps share an executor's memory.
+FEW_BYTES = 2 << 20
+
+
+def sparing(task: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """The task, which in the end gives back what Arrow and malloc keep for later: its worker idles beside other stages."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return run

@@ -317,6 +317,48 @@ def test_lm_probabilities_sum_to_one(spark, sf):
         assert math.isclose(sum(math.exp(plain.spelled(start + bytes([k])) - plain.spelled(start)) for k in range(256)), 1, rel_tol=1e-6)
 
 
+MEMORY = """
+import re, sys, threading, time
+import numpy as np, pyarrow as pa
+from plumbline.llm import op09_jaccard as m
+
+def now():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+class Shared:
+    value = np.zeros(0, np.uint64)
+
+def run(n):
+    rng = np.random.default_rng(3)
+    texts = pa.array([" ".join(map(str, rng.integers(0, 10**7, 300).tolist())) for _ in range(n)])
+    ids = pa.array(np.arange(n))
+    batch, most, over, base = pa.RecordBatch.from_arrays([ids, texts, ids], ["doc_id", "text", "tag"]), [0], [], now()
+    def watch():
+        while not over:
+            most[0] = max(most[0], now())
+            time.sleep(0.005)
+    thread = threading.Thread(target=watch)
+    thread.start()
+    rows = sum(b.num_rows for b in m._features(Shared)(iter([batch])))
+    over.append(1)
+    thread.join()
+    return rows, most[0] - base, now() - base
+
+run(100)
+print(*run(8000))
+"""
+
+
+def test_tasks_give_memory_back():
+    """A task over 19 MB of texts needs little beside them, and leaves almost nothing in its worker."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    rows, most, left = map(float, subprocess.run([sys.executable, "-c", MEMORY], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2]).stdout.split())
+    assert rows == 8000 and most < 90 and left < 25, (most, left)
+
+
 def test_lm_learns_from_all(spark, sf, texts, monkeypatch):
     """Weights, maps and the cache's share are learned from every bit and token of all texts and spelled words."""
     from plumbline.llm import op04_lm as m
