@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import text_or_empty, written
-from .shingles import flat_words, mixed, slices, word_hashes
+from .shingles import flat_words, mixed, slices, sparing, word_hashes
 
 #: Words that have a code of their own, at most; classes of training texts that are told apart, at most.
 CODED, CLASSES = 1 << 18, 8
@@ -392,6 +392,7 @@ class Model:
 _STATES = (1 << 20, 1 << 20 | 1)
 
 
+@sparing
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, class, n) of texts (text, class): a task's counts, the end among them."""
     held, rows = [], 0
@@ -422,6 +423,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count_paths(shared):
     """Counts of the bits of coded tokens, and what is learned from them, from texts (text)."""
 
+    @sparing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book: Codebook = shared.value
         learner, ages = Learner(WORD_SLOTS, 1 + len(WORD_BITS)), np.zeros((2, AGES))
@@ -452,6 +454,7 @@ def _count_paths(shared):
     return count
 
 
+@sparing
 def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the bits of words that are spelled, each distinct one once, and what is learned from them, from rows (word)."""
     learner = Learner(BYTE_SLOTS, len(BYTE_BITS))
@@ -466,6 +469,7 @@ def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield learner.state(_STATES[1], np.zeros(0))
 
 
+@sparing
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, packed predictions) from rows that are sorted by block, or the sums of a state; one is held at a time."""
     at, total = None, None
@@ -564,6 +568,7 @@ _WORKER: dict[str, dict[int, float]] = {}
 def _scorer(key: str, shared):
     """A row for each text, and rows (uid, word, tf) for words that aren't coded, whose counts are joined later."""
 
+    @sparing
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
