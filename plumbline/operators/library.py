@@ -18,6 +18,48 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_time: str, right_
     return both.withColumn(value, latest).filter("_left = 1").select("_row.*", value)
 
 
+#: Rows of a side of a range join that are paired in one place, about.
+SIDE = 2048
+
+
+def range_join(left: DataFrame, right: DataFrame, by: str, at: str, width: int) -> DataFrame:
+    """Pairs of rows (struct a of left, struct b of right) with the same by and a.at < b.at <= a.at + width; at is a whole number.
+
+    Rows meet in cells of width whole numbers, so that only rows of neighbouring cells are compared. A group of more rows
+    than SIDE is dealt into pieces on each side, every piece of one side meets every piece of the other, and so no task
+    holds a group: rows are copied 2 / SIDE times a pair at most.
+    """
+    spark = left.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    x, key = F.col(at).cast("long"), ["_by", "_cell"]
+    # Cell k has the numbers above (k - 1) * width up to k * width.
+    above, below = (x % width > 0).cast("long"), (x % width < 0).cast("long")
+    whole = F.expr(f"CAST({at} AS LONG) DIV {width}")
+
+    def rows(df: DataFrame, name: str, cell) -> DataFrame:
+        return df.select(F.struct(*df.columns).alias(name), F.col(by).alias("_by"), cell.alias("_cell"), F.monotonically_increasing_id().alias("_n")).filter("_by is not null and _cell is not null")
+
+    a = rows(left, "a", F.explode(F.sequence(whole - below + 1, whole + above + 1)))
+    b = rows(right, "b", whole + above)
+    sizes = [df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / SIDE).alias(name)) for df, name in ((a, "_as"), (b, "_bs"))]
+    # Few groups are large: one for each SIDE rows at most.
+    large = sizes[0].join(sizes[1], key).filter("_as > 1 or _bs > 1")
+
+    def dealt(df: DataFrame, own: str, others: str) -> DataFrame:
+        piece = F.pmod(F.xxhash64("_n"), F.coalesce(own, F.lit(1))).alias(own[:2])
+        df = df.join(F.broadcast(large), key, "left").select(df.columns[0], *key, piece, F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce(others, F.lit(1)))).alias(others[:2]))
+        return df.withColumn(others[:2], F.col(others[:2]) - 1).repartition(tasks, *key, "_a", "_b")
+
+    pairs = dealt(a, "_as", "_bs").hint("merge").join(dealt(b, "_bs", "_as"), [*key, "_a", "_b"])
+    return pairs.filter(f"b.{at} > a.{at} AND b.{at} <= a.{at} + {width}").select("a", "b")
+
+
+@query("SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND b.p_size > a.p_size AND b.p_size <= a.p_size + 1")
+def join_range(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    return range_join(part, part, "p_brand", "p_size", 1).select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"))
+
+
 def session_ids(df: DataFrame, by: str, time: str, gap: str) -> DataFrame:
     """df with the number of its session: a new one after a gap."""
     w = Window.partitionBy(by).orderBy(time)

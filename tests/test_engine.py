@@ -333,3 +333,26 @@ def test_most_rows_to_read(spark, tmp_path):
     assert Engine(spark, {"max_rows_to_read": 1000}).query("SELECT sum(id) AS s FROM t", external_tables={"t": t}).collect()[0]["s"] == 499500
     with pytest.raises(QueryError, match="more than 999 rows were read"):
         Engine(spark, {"max_rows_to_read": 999}).query("SELECT sum(id) AS s FROM t", external_tables={"t": t}).collect()
+
+
+@pytest.mark.parametrize("width", [1, 3])
+def test_range_join(spark, monkeypatch, width):
+    """All pairs in range, and a large group's pairs are not one task's work."""
+    from plumbline.operators import library
+
+    monkeypatch.setattr(library, "SIDE", 8)
+    rows = [(k, "x" if k % 9 else None if k % 2 else "y", None if k % 11 == 0 else k % 13 - 6 if k % 3 else 2) for k in range(300)]
+    df = spark.createDataFrame(rows, "id long, g string, v int")
+    got = library.range_join(df, df, "g", "v", width).select("a.id", "b.id", F.spark_partition_id()).collect()
+    want = [(a, b) for a, g, v in rows for b, h, w in rows if g is not None and g == h and v is not None and w is not None and v < w <= v + width]
+    assert sorted(r[:2] for r in got) == sorted(want)
+    assert max(sum(r[2] == p for r in got) for p in {r[2] for r in got}) < len(got) / 4
+    assert library.range_join(df.limit(0), df, "g", "v", width).count() == 0
+
+
+def test_range_join_compares_few(spark):
+    """The query's rows meet by brand and size, not by brand alone."""
+    from plumbline.operators.catalog import QUERIES
+
+    plan = QUERIES["join_range"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_cell" in next(line for line in plan.splitlines() if "Join Inner" in line)
