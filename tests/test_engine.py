@@ -356,3 +356,17 @@ def test_range_join_compares_few(spark):
 
     plan = QUERIES["join_range"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "_cell" in next(line for line in plan.splitlines() if "Join Inner" in line)
+
+
+def test_sketch_beside_distinct(spark):
+    """No sketch is kept for each distinct value: it has the distinct values themselves, with the same result."""
+    sql = "SELECT k, approx_count_distinct(v, 0.01) AS a, count(DISTINCT v) AS n, 'f(DISTINCT' AS s FROM t GROUP BY k"
+    t = spark.range(20000).selectExpr("id % 3 AS k", "IF(id % 10 = 0, NULL, id % 700) AS v")
+    df = Engine(spark).query(sql, external_tables={"t": t}).data
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "merge_approx_count_distinct" not in plan
+    alone = {r["k"]: r["a"] for r in t.groupBy("k").agg(F.approx_count_distinct("v", 0.01).alias("a")).collect()}
+    assert {r["k"]: r["a"] for r in df.collect()} == alone
+    assert rewrite("SELECT approx_count_distinct(a), '(DISTINCT' FROM t").sql == "SELECT approx_count_distinct(a), '(DISTINCT' FROM t"
+    over = "SELECT approx_count_distinct(a) OVER (PARTITION BY b), (SELECT count(DISTINCT a) FROM t) FROM t"
+    assert rewrite(over).sql == over
