@@ -370,3 +370,64 @@ def test_sketch_beside_distinct(spark):
     assert rewrite("SELECT approx_count_distinct(a), '(DISTINCT' FROM t").sql == "SELECT approx_count_distinct(a), '(DISTINCT' FROM t"
     over = "SELECT approx_count_distinct(a) OVER (PARTITION BY b), (SELECT count(DISTINCT a) FROM t) FROM t"
     assert rewrite(over).sql == over
+
+
+@pytest.mark.parametrize(
+    "kind,values",
+    [
+        *BLOCK_TYPES,
+        ("UInt64", [decimal.Decimal((1 << 64) - 1), decimal.Decimal(0)]), ("Float64", [float("inf"), -0.0]), ("DateTime64(6)", [datetime.datetime(2024, 1, 15, 10, 30, 0, 123456), datetime.datetime(1, 1, 1)]),
+        ("String", ["x" * 127, "é" * 64, "", "y" * 20000]), ("Nullable(UInt64)", [None, decimal.Decimal(7)]), ("Nullable(DateTime64(6))", [None, datetime.datetime(1969, 12, 31)]), ("LowCardinality(String)", ["", "x" * 200, "x"]),
+        ("Map(String, Float64)", [{}, {"a": 1.5, "n": None}, {"a" * 300: -1.0}]), ("Map(String, Array(Nullable(Int64)))", [{"a": [1, None], "b": []}, {}]), ("Array(Tuple(Int64, LowCardinality(Nullable(String))))", [[(1, None), (2, "x")], [], [(3, "x")]]),
+    ],
+)
+def test_blocks_by_columns(kind, values):
+    """A batch's block has the bytes of its rows' block, and is read as the same batch, also from a slice and with nulls."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from plumbline.functions.types import schema
+    from plumbline.sources import blocks
+
+    columns = [("v", str(parse(kind)))]
+    arrow = to_arrow_schema(schema(columns))
+    whole = blocks._arrow([values[-1], *values, None, *values, values[0]], arrow.field(0).type)
+    for v in (whole, whole[1:-1], whole[1 : len(values) + 1], whole[:0]):
+        data = blocks.arrow_encode(columns, pa.RecordBatch.from_arrays([v], schema=arrow))
+        assert data == blocks.encode(columns, [(x,) for x in v.to_pylist()])
+        rows = [r[0] for r in blocks.decode(data)[1]]
+        got = blocks.arrow_decode(data, columns, arrow)
+        assert got.schema == arrow and got.column(0).to_pylist() == blocks._arrow(rows, arrow.field(0).type).to_pylist()
+        got.validate(full=True)
+        for cut in range(len(data)) if len(v) else ():
+            if cut < 100 or cut > len(data) - 100:
+                with pytest.raises((blocks.Truncated, ValueError)):
+                    blocks.arrow_decode(data[:cut], columns, arrow)
+
+
+def test_blocks_odd_bytes():
+    """Of equal keys of a map the last counts; other columns, and text that isn't UTF-8, are faults."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from plumbline.functions.types import schema
+    from plumbline.sources import blocks
+
+    columns = [("v", "Map(String, Int64)")]
+    arrow = to_arrow_schema(schema(columns))
+    data = blocks.encode(columns, [([("a", 1), ("b", 2), ("a", 3)],), ([("a", 4)],)])
+    assert blocks.arrow_decode(data, columns, arrow).column(0).to_pylist() == [[("a", 3), ("b", 2)], [("a", 4)]]
+    with pytest.raises(ValueError, match="columns are"):
+        blocks.arrow_decode(data, [("w", columns[0][1])], arrow)
+    texts = [("v", "String")]
+    with pytest.raises(UnicodeDecodeError):
+        blocks.arrow_decode(blocks.encode(texts, [(b"\xff",)]), texts, to_arrow_schema(schema(texts)))
+    # As fast as columns are: no Python object is made of a number or a text.
+    some = pa.RecordBatch.from_pydict({"v": pa.array(["x"] * 5)})
+    made = []
+    values, blocks._values = blocks._values, lambda *a: made.append(a) or values(*a)
+    try:
+        blocks.arrow_encode(texts, some)
+    finally:
+        blocks._values = values
+    assert not made
