@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A word is a run of characters other than these.
@@ -32,6 +34,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage, survives lost executors, and is computed once."""
     at = new_path(df.sparkSession, name)
     df.write.parquet(at)
+    spared(df.sparkSession)
     # Cleared tables may be empty: the schema is given, so that reading needs no file to infer it from.
     back = df.sparkSession.read.schema(df.schema).parquet(at)
     back._plumbline_path = at
@@ -51,6 +54,19 @@ def released(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of tables that nothing refers to any more; it does so when the JVM collects."""
     gc.collect()
     spark._jvm.System.gc()
+    spared(spark)
+
+
+def spared(spark: SparkSession) -> None:
+    """Gives back what the driver's JVM has freed and malloc keeps for later: compiling code for plan after plan leaves hundreds of MB."""
+    java, gateway = spark._jvm.java.lang, spark.sparkContext._gateway
+    kinds, values = gateway.new_array(java.Class, 4), gateway.new_array(java.Object, 4)
+    for k, name in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+        kinds[k] = java.Class.forName(name)
+    values[0], values[1] = spark._jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    with contextlib.suppress(Py4JError):  # not every JVM has the command
+        # By the interface, since the server's own class is hidden.
+        java.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(java.management.ManagementFactory.getPlatformMBeanServer(), values)
 
 
 def text_or_empty(column: str | Column) -> Column:

@@ -359,6 +359,31 @@ def test_tasks_give_memory_back():
     assert rows == 8000 and most < 90 and left < 25, (most, left)
 
 
+def test_driver_gives_memory_back(spark):
+    from pathlib import Path
+
+    from plumbline.llm.common import written
+
+    jvm = spark._jvm
+    rollup = Path(f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/smaps_rollup")
+    anonymous = lambda: int(re.search(r"Pss_Anon:\s+(\d+)", rollup.read_text())[1]) / 1024
+    for _ in range(3):
+        written(spark.range(9), "warm")
+    # Memory of malloc's in the JVM; what comes last keeps the rest from being given back by itself.
+    field = jvm.java.lang.Class.forName("sun.misc.Unsafe").getDeclaredField("theUnsafe")
+    field.setAccessible(True)
+    unsafe, size = field.get(None), 100_000
+    made = [unsafe.allocateMemory(size) for _ in range(2_000)]
+    for x in made:
+        unsafe.setMemory(x, size, 1)
+    for x in made[:-1]:
+        unsafe.freeMemory(x)
+    before = anonymous()
+    assert written(spark.range(9), "trimmed").count() == 9
+    assert before - anonymous() > 100
+    unsafe.freeMemory(made[-1])
+
+
 def test_lm_learns_from_all(spark, sf, texts, monkeypatch):
     """Weights, maps and the cache's share are learned from every bit and token of all texts and spelled words."""
     from plumbline.llm import op04_lm as m
