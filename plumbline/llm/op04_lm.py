@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import text_or_empty, written
-from .shingles import flat_words, mixed, slices, sparing, word_hashes
+from .shingles import distinct_hashes, flat_words, mixed, slices, sparing, word_hashes
 
 #: Words that have a code of their own, at most; classes of training texts that are told apart, at most.
 CODED, CLASSES = 1 << 18, 8
@@ -42,6 +42,7 @@ CODED, CLASSES = 1 << 18, 8
 WORD_BITS, BYTE_BITS = (22, 22), (20, 20, 21)
 _WORD_AT = (CLASSES + 1) * (CODED + 2) + np.concatenate([[0], np.cumsum([1 << b for b in WORD_BITS])])
 _BYTE_AT = np.concatenate([[0], np.cumsum([1 << b for b in BYTE_BITS])])
+_WORD_BITS, _BYTE_BITS = (np.array(bits, np.uint32)[:, None] for bits in (WORD_BITS, BYTE_BITS))
 #: Slots of a path's bits, then those of bytes' bits; slots of a block that counts are summed in.
 BLOCK = 1 << 16
 WORD_SLOTS, BYTE_SLOTS = (-(-int(at[-1]) // BLOCK) * BLOCK for at in (_WORD_AT, _BYTE_AT))
@@ -54,11 +55,22 @@ STEP_BITS = 1 << 13
 HELD, CACHE = 1_000_000, 200_000
 #: Bytes of texts that a task makes tokens of at a time; tokens that are looked at together, and bits that a task counts before it hands its counts on.
 SLICE, CHUNK, MOST_BITS = 2 << 20, 1 << 14, 1 << 31
+#: Tokens, or bits, that arithmetic is done on together where results don't depend on it: few calls, and arrays that a cache holds.
+SCORED = 1 << 15
 END = " "
 #: log of the probability that a spelling counts as while the cache's share is learned.
 SPELLED = -16.0
 
 
+#: A zero and a one as a cell counts them; what a bit counts as where its share is added (more than the shares of a step's bits come to).
+_MORE, _WHOLE = np.array([1, 1 << 32], np.uint64), np.float64(1 << 20)
+
+#: Each count's step, up to the last one; lanes that a gate's sums are made in.
+_STEP = np.searchsorted(STEPS, np.arange(STEPS[-1] + 1), side="right")
+LANES = 4
+_LANES = np.arange(STEP_BITS) % LANES * GATES
+
+
 def _step(n: np.ndarray) -> np.ndarray:
     return np.searchsorted(STEPS, n, side="right")
 
@@ -71,11 +83,20 @@ def _squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -20, 20)))
 
 
+def _within(x: np.ndarray, most: float) -> np.ndarray:
+    """x, in place, as far from 0 as most; two plain passes take half of np.clip's time."""
+    np.minimum(x, np.float32(most), out=x)
+    return np.maximum(x, np.float32(-most), out=x)
+
+
 def _bucket(dot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets' points are half a unit apart, from -12 to 12."""
-    x = np.clip(dot, np.float32(-11.99), np.float32(11.99)) * np.float32(2) + np.float32(BUCKETS // 2)
+    """The buckets' points are half a unit apart, from -12 to 12. dot is overwritten."""
+    x = _within(dot, 11.99)
+    x *= np.float32(2)
+    x += np.float32(BUCKETS // 2)
     low = np.floor(x)
-    return low.astype(np.intp), x - low
+    x -= low
+    return low.astype(np.intp), x
 
 
 @dataclass
@@ -85,19 +106,26 @@ class Mixer:
     weights: np.ndarray
     map_: np.ndarray
 
-    def bits(self, packed: list[np.ndarray], ones: np.ndarray) -> np.ndarray:
-        """log probabilities of bits; packed: each context's slots of a model's table."""
-        gate = ((packed[-2] & 3) * np.int16(len(STEPS) + 1) + (packed[-1] & 3)).astype(np.intp)
-        dot = self.weights[0].take(gate) * (packed[0] >> 2)
-        for k in range(1, len(packed)):
-            dot += self.weights[k].take(gate) * (packed[k] >> 2)
+    def bits(self, packed: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        """Probabilities of bits; packed: a row of each context's slots of a model's table."""
+        step = packed[-2:] & 3
+        gate = (step[0] * np.int16(len(STEPS) + 1) + step[1]).astype(np.intp)
+        parts = self.weights.take(gate, axis=1, mode="clip")
+        parts *= (packed >> 2).astype(np.float32)
+        dot = np.add.reduce(parts)
         dot *= np.float32(1 / 256)
         low, part = _bucket(dot)
-        low += gate * BUCKETS
+        gate *= BUCKETS
+        low += gate
         flat = self.map_.reshape(-1)
-        p = flat.take(low)
-        p += (flat.take(low + 1) - p) * part
-        return np.log(np.abs(p - (1 - ones).astype(np.float32)))
+        p = flat.take(low, mode="clip")
+        low += 1
+        more = flat.take(low, mode="clip")
+        more -= p
+        more *= part
+        p += more
+        p -= (1 - ones).astype(np.float32)
+        return np.abs(p, out=p)
 
 
 class Learner:
@@ -113,39 +141,57 @@ class Learner:
         # Bits, and their shares of the next bucket, by gate, bucket and value.
         self.bits, self.shares = np.zeros((2, GATES * BUCKETS * 2))
 
-    def learn(self, slots: list[np.ndarray], ones: np.ndarray) -> np.ndarray:
-        """log probabilities of bits before they are counted; the weights and the map learn from each STEP_BITS of them, then they are counted."""
+    def learn(self, slots: np.ndarray | list[np.ndarray], ones: np.ndarray) -> np.ndarray:
+        """log probabilities of bits before they are counted."""
+        return np.log(self.count(slots, ones))
+
+    def count(self, slots: np.ndarray | list[np.ndarray], ones: np.ndarray) -> np.ndarray:
+        """Probabilities of bits before they are counted; the weights and the map learn from each STEP_BITS of them, then they are counted."""
         out = np.empty(len(ones), np.float32)
         for at in range(0, len(ones), STEP_BITS):
             part = slice(at, at + STEP_BITS)
-            one, own = ones[part], [s[part] for s in slots]
-            st, gate = [], 0
-            for k, s in enumerate(own):
-                seen = self.cells.take(s).view("<u4").astype(np.float32)
-                seen += np.float32(0.4)
-                st.append(np.log(seen[1::2] / seen[::2]))
-                if k >= len(own) - 2:
-                    total = seen[::2] + seen[1::2]  # 0.8 more than the count
-                    gate = gate * np.int8(len(STEPS) + 1) + sum((total > np.float32(step + 0.3)).view(np.int8) for step in STEPS)
-            gate = gate.astype(np.intp)
-            dot = self.weights[0].take(gate) * st[0]
-            for k in range(1, len(own)):
-                dot += self.weights[k].take(gate) * st[k]
-            sign = (2 * one - 1).astype(np.float32)
-            error = 1 / (1 + np.exp(np.clip(sign * dot, np.float32(-13.8), np.float32(13.8))))
-            out[part] = np.log1p(-error)
+            one = ones[part]
+            more, cells = _MORE.take(one, mode="clip"), np.empty((len(slots), len(one)), "<u8")
+            for own, seen in zip(slots, cells, strict=True):
+                self.cells.take(own[part], out=seen, mode="clip")
+            for own in reversed(slots):  # the last one's lines are still in the processor's cache
+                np.add.at(self.cells, own[part], more)
+            seen = cells.view("<u4").astype(np.float32)
+            seen += np.float32(0.4)
+            st = seen[:, 1::2] / seen[:, ::2]
+            np.log(st, out=st)
+            total = seen[-2:, ::2] + seen[-2:, 1::2]  # 0.8 more than the count, which gets lost in the table's index
+            np.minimum(total, np.float32(STEPS[-1] + 0.9), out=total)
+            step = _STEP.take(total.astype(np.intp), mode="clip")
+            gate = step[0] * (len(STEPS) + 1)
+            gate += step[1]
+            parts = self.weights.take(gate, axis=1, mode="clip")
+            parts *= st
+            dot = np.add.reduce(parts)
+            sign = one.astype(np.float32)
+            sign *= np.float32(2)
+            sign -= np.float32(1)
+            odds = _within(sign * dot, 13.8)
+            np.exp(odds, out=odds)
+            error = 1 / (1 + odds)
+            np.multiply(odds, error, out=out[part])
             error *= sign
-            for k in range(len(own)):
-                step = np.bincount(gate, error * st[k], GATES)
-                self.squares[k] += step * step
-                self.weights[k] += 0.1 * step / np.sqrt(self.squares[k])
+            st *= error
+            # Sums of a gate in lanes, since each addition to a sum waits for the one before.
+            lanes = gate + _LANES[: len(gate)] + np.arange(len(st))[:, None] * (LANES * GATES)
+            step = np.bincount(lanes.ravel(), st.ravel(), len(st) * LANES * GATES).reshape(-1, LANES, GATES).sum(1)
+            self.squares += step * step
+            self.weights += 0.1 * step / np.sqrt(self.squares)
             low, rest = _bucket(dot)
-            cell = (gate * BUCKETS + low) * 2 + one
-            self.bits += np.bincount(cell, minlength=len(self.bits))
-            self.shares += np.bincount(cell, rest, len(self.bits))
-            more = np.where(one == 1, np.uint64(1 << 32), np.uint64(1))
-            for s in own:
-                np.add.at(self.cells, s, more)
+            gate *= BUCKETS
+            low += gate
+            low *= 2
+            low += one
+            # One sum brings the bits and their shares, which are below 1 each.
+            both = np.bincount(low, rest + _WHOLE, len(self.bits))
+            bits = np.floor(both / _WHOLE)
+            self.bits += bits
+            self.shares += both - bits * _WHOLE
         self.counted += len(ones)
         return out
 
@@ -181,7 +227,18 @@ def _mixer(sums: np.ndarray | None, contexts: int) -> tuple[Mixer, np.ndarray]:
     return Mixer(np.ascontiguousarray(weights.T, np.float32), np.clip(map_, 1e-6, 1 - 1e-6).astype(np.float32)), more
 
 
-def byte_bits(words: list[str]) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, list[np.ndarray]]]]:
+def _hashed(contexts: np.ndarray, node: np.ndarray, bits: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
+    """The slots of nodes in hashed contexts (a row each), in tables of so many bits that begin there, into out."""
+    for first in range(0, len(node), SCORED):
+        part = slice(first, first + SCORED)
+        x, to = contexts[:, part] ^ (node[part] * np.uint32(0x9E3779B1)), out[:, part]
+        x *= np.uint32(0x85EBCA6B)
+        x >>= np.uint32(32) - bits
+        to[:] = x
+        to += at[: len(out), None]
+
+
+def byte_bits(words: list[str]) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
     """The word that each byte of the words and their ends belongs to; and for each of 8 bits its values and slots."""
     data = np.frombuffer(b" ".join(w.encode() for w in words) + b" ", np.uint8)
     last = np.flatnonzero(data == 32)
@@ -205,9 +262,11 @@ def byte_bits(words: list[str]) -> tuple[np.ndarray, Iterator[tuple[np.ndarray,
     contexts.append((prefix >> np.uint64(32)).astype(np.uint32))
 
     def bits():
+        all_, marked = np.stack(contexts), data.astype(np.uint32) | np.uint32(256)
         for bit in range(8):
-            node = ((data.astype(np.uint32) | np.uint32(256)) >> np.uint32(8 - bit)) * np.uint32(0x9E3779B1)
-            yield ((data >> np.uint8(7 - bit)) & np.uint8(1)).astype(np.int64), [(((c ^ node) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - b)).astype(np.int64) + at for c, b, at in zip(contexts, BYTE_BITS, _BYTE_AT, strict=False)]
+            slots = np.empty((len(BYTE_BITS), len(data)), np.intp)
+            _hashed(all_, marked >> np.uint32(8 - bit), _BYTE_BITS, _BYTE_AT, slots)
+            yield ((data >> np.uint8(7 - bit)) & np.uint8(1)).astype(np.int64), slots
 
     return word, bits()
 
@@ -253,7 +312,7 @@ class Codebook:
             depth[node] = depth[parent[node]] + 1
         return Codebook(hashes, counts, ends, parent * 2 + side, depth[:n], np.ascontiguousarray(evidence, np.float32), np.log(np.maximum(1, texts) / max(1, texts.sum())))
 
-    def paths(self, tokens: "Tokens", part: slice) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, list[np.ndarray]]]]:
+    def paths(self, tokens: "Tokens", part: slice) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
         """The tokens of a part, long paths first; and for each level of the tree, from the leaves up, the bits of the first
         of them (as many as reach it) and the bits' slots."""
         depth = self.depth[tokens.leaf[part]]
@@ -262,14 +321,14 @@ class Codebook:
 
         def levels():
             node, own = tokens.leaf[part][order], order + part.start
-            klass, contexts, first = tokens.klass[own] * (CODED + 2), [c[own] for c in tokens.contexts], len(self.hashes) + 2
+            klass, contexts, first = tokens.klass[own] * (CODED + 2), np.stack([c[own] for c in tokens.contexts]), len(self.hashes) + 2
             for n in sizes[1:].tolist():
-                up = self.up[node[:n]]
+                up = self.up.take(node[:n], mode="clip")
                 side, node = up & 1, up >> 1
                 inner = node - first
-                spread = inner.astype(np.uint32) * np.uint32(0x9E3779B1)
-                slots = [klass[:n] + inner]
-                slots += [(((c[:n] ^ spread) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - b)).astype(np.intp) + at for c, b, at in zip(contexts, WORD_BITS, _WORD_AT, strict=False)]
+                slots = np.empty((1 + len(WORD_BITS), n), np.intp)
+                np.add(klass[:n], inner, out=slots[0])
+                _hashed(contexts[:, :n], inner.astype(np.uint32), _WORD_BITS, _WORD_AT, slots[1:])
                 yield side, slots
 
         return order + part.start, levels()
@@ -294,7 +353,7 @@ class Tokens:
         """code: each token's distinct word, or the number of them for an end; place: each distinct word's in the codebook, or -1."""
         flat, offsets = flat_words(texts)
         coded = flat.dictionary_encode()
-        h = word_hashes(coded.dictionary)
+        h = distinct_hashes(coded.dictionary)
         n, sizes = len(h), np.diff(offsets) + 1
         ends = np.cumsum(sizes) - 1
         code = np.full(int(sizes.sum()), n, np.int64)
@@ -337,15 +396,33 @@ class Tokens:
             return np.where((rank > 0) & (self.code < len(self.words)), np.log(rank / np.maximum(1, self.age)), -np.inf)
 
     def ages(self) -> np.ndarray:
-        return np.minimum(AGES - 1, np.log2(np.maximum(1, self.age) * 2).astype(np.int64)) * (self.age > 0)
+        of = np.log2(np.maximum(1, np.arange(self.age.max(initial=0) + 1)) * 2).astype(np.int64)
+        of[0] = 0
+        return np.minimum(AGES - 1, of).take(self.age, mode="clip")
 
 
 def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Places of values in a sorted table, -1 where they aren't."""
     if not len(table):
         return np.full(len(values), -1)
+    # In order, so that neighbours' searches go the same ways.
+    order = np.argsort(values)
+    values = values[order]
     place = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return np.where(table[place] == values, place, -1)
+    out = np.empty(len(values), np.int64)
+    out[order] = np.where(table[place] == values, place, -1)
+    return out
+
+
+def _log_product(n: int, levels: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
+    """log of the product of n rows' probabilities (1e-6 at least); levels: how many of the first rows have one, and these."""
+    out, product = np.zeros(n), np.ones(n)
+    for k, (m, p) in enumerate(levels, 1):
+        product[:m] *= p
+        if k % 32 == 0:  # a double holds so many
+            out += np.log(product)
+            product[:] = 1
+    return out + np.log(product)
 
 
 @dataclass
@@ -364,29 +441,28 @@ class Model:
         for at in range(0, len(words), CHUNK):
             some = words[at : at + CHUNK]
             word, bits = byte_bits(some)
-            total = np.zeros(len(word), np.float32)
+            table, total = self.table[WORD_SLOTS:], np.ones(len(word))
             for ones, slots in bits:
-                total += self.bytes.bits([self.table.take(s + WORD_SLOTS) for s in slots], ones)
-            out[at : at + len(some)] = np.bincount(word, total, len(some))
+                for first in range(0, len(total), SCORED):
+                    part = slice(first, first + SCORED)
+                    total[part] *= self.bytes.bits(table.take(slots[:, part], mode="clip"), ones[part])
+            out[at : at + len(some)] = np.bincount(word, np.log(total, out=total), len(some))
         return out
 
     def code(self, tokens: Tokens) -> np.ndarray:
         """log probabilities of the tokens' paths."""
         out = np.zeros(len(tokens.code))
-        for first in range(0, len(out), CHUNK):
-            order, levels = self.book.paths(tokens, slice(first, min(first + CHUNK, len(out))))
-            total = np.zeros(len(order), np.float32)
-            for ones, slots in levels:
-                total[: len(ones)] += self.words.bits([self.table.take(s) for s in slots], ones)
-            out[order] = total
+        for first in range(0, len(out), SCORED):
+            order, levels = self.book.paths(tokens, slice(first, min(first + SCORED, len(out))))
+            out[order] = _log_product(len(order), ((len(ones), self.words.bits(self.table.take(slots, mode="clip"), ones)) for ones, slots in levels))
         return out
 
     def score(self, tokens: Tokens, spelled: np.ndarray) -> np.ndarray:
         """log probabilities of the tokens; spelled: those of the distinct words' spellings (0 where a word is coded)."""
         own = self.code(tokens) + np.append(spelled, 0.0)[tokens.code]
-        share = self.share[tokens.ages()]
+        age = tokens.ages()
         with np.errstate(divide="ignore"):
-            return np.logaddexp(np.log1p(-share) + own, np.log(share) + tokens.cached())
+            return np.logaddexp(np.log1p(-self.share).take(age) + own, np.log(self.share).take(age) + tokens.cached())
 
 
 _STATES = (1 << 20, 1 << 20 | 1)
@@ -436,10 +512,7 @@ def _count_paths(shared):
                 log_p, cached, of_age = np.zeros(len(tokens.code)), tokens.cached(), tokens.ages()
                 for first in range(0, len(log_p), CHUNK):
                     order, levels = book.paths(tokens, slice(first, min(first + CHUNK, len(log_p))))
-                    total = np.zeros(len(order), np.float32)
-                    for ones, slots in levels:
-                        total[: len(ones)] += learner.learn(slots, ones)
-                    log_p[order] = total
+                    log_p[order] = _log_product(len(order), ((len(ones), learner.count(slots, ones)) for ones, slots in levels))
                 old = tokens.age > 0
                 log_p[tokens.leaf == book.escape] += SPELLED
                 odds = np.log(share / (1 - share))[of_age[old]] + cached[old] - log_p[old]
@@ -462,7 +535,7 @@ def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, CHUNK):
             _, bits = byte_bits(batch.column(0).slice(at, CHUNK).to_pylist())
             for ones, slots in bits:
-                learner.learn(slots, ones)
+                learner.count(slots, ones)
             if learner.counted > MOST_BITS:
                 yield from learner.blocks(WORD_SLOTS // BLOCK)
     yield from learner.blocks(WORD_SLOTS // BLOCK)

@@ -44,14 +44,20 @@ def word_hashes(flat: pa.Array) -> np.ndarray:
     if not len(flat):
         return np.zeros(0, np.uint64)
     coded = flat.dictionary_encode()
-    each = pa.concat_arrays([coded.dictionary.cast(pa.large_string())])
+    return distinct_hashes(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def distinct_hashes(words: pa.Array) -> np.ndarray:
+    """word_hashes() of strings that don't repeat."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    each = pa.concat_arrays([words.cast(pa.large_string())])
     ends = np.frombuffer(each.buffers()[1], np.int64)[each.offset : each.offset + len(each) + 1]
     data = np.frombuffer(each.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
     ends = ends - ends[0]
     place = np.arange(len(data)) - np.repeat(ends[:-1], np.diff(ends))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed((place.astype(np.uint64) << np.uint64(8)) + data + _P), dtype=np.uint64)])
-    h = mixed((sums[ends[1:]] - sums[ends[:-1]]) ^ (np.diff(ends).astype(np.uint64) * _P))
-    return h[coded.indices.to_numpy(zero_copy_only=False)]
+    return mixed((sums[ends[1:]] - sums[ends[:-1]]) ^ (np.diff(ends).astype(np.uint64) * _P))
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:

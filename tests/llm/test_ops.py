@@ -446,6 +446,33 @@ def test_lm_learner_by_hand():
     assert (np.stack([np.frombuffer(block.column(k)[0].as_py(), np.uint16) for k in (1, 2)], 1) == counts).all() and not learner.counts.any()
 
 
+def test_lm_slow_logarithms_are_few(monkeypatch):
+    """np.log1p has no vector code for single precision: neither bits nor tokens go through it one by one."""
+    from plumbline.llm import op04_lm as m
+
+    np, seen, log1p = m.np, [0], m.np.log1p
+    book = m.Codebook.of(np.sort(m.word_hashes(pa.array(["a", "b", "c"]))), np.array([9, 5, 3]), np.zeros((3, 0)), 2, 4, np.zeros(0))
+    tokens = m.Tokens.of(pa.array([" ".join("abcdx"[k % 5] for k in range(2_000))]), book)
+    monkeypatch.setattr(np, "log1p", lambda x, *a, **b: seen.__setitem__(0, seen[0] + np.size(x)) or log1p(x, *a, **b))
+    learner = m.Learner(m.WORD_SLOTS, 3)
+    for ones, slots in book.paths(tokens, slice(0, 2_001))[1]:
+        learner.learn(slots, ones)
+    mixer, _ = m._mixer(None, 3)
+    model = m.Model(book, np.zeros(m.WORD_SLOTS + m.BYTE_SLOTS, np.int16), mixer, mixer, np.full(m.AGES, 0.1))
+    first = model.score(tokens, np.zeros(len(tokens.words)))
+    assert learner.counted > 4_000 and seen[0] <= 2 * m.AGES
+    # Scores don't depend on how many tokens are scored together.
+    monkeypatch.setattr(m, "SCORED", 300)
+    assert np.allclose(first, model.score(tokens, np.zeros(len(tokens.words))), rtol=1e-12)
+
+
+def test_lm_products_of_long_paths():
+    from plumbline.llm import op04_lm as m
+
+    levels = [(n, m.np.full(n, 1e-6, m.np.float32)) for n in range(1, 91)]
+    assert m.np.allclose(m._log_product(90, iter(levels)), [math.log(1e-6) * (90 - k) for k in range(90)], rtol=1e-6)
+
+
 def test_mixing(spark, sf, texts):
     from plumbline.llm.op05_mixing import mix, op5_mixing
 
